@@ -160,3 +160,94 @@ GROUP BY time_week, bin, lo, width"""))
 def q_degree_histogram30(spark, d):
     """A10: 30 equal-width bins with density."""
     return deg_ops.degree_histogram(f1(spark, d), 30)
+
+
+# ---------------------------------------------------------------- step 4-5: mixing, triangles
+
+@query("degree_assortativity", O.with_base("f2", """
+io AS (SELECT time_week, node, sum(o) AS od, sum(i) AS id FROM
+  (SELECT time_week, src AS node, 1 AS o, 0 AS i FROM e UNION ALL SELECT time_week, dst, 0, 1 FROM e) GROUP BY ALL),
+xy AS (SELECT e.time_week, CAST(a.od AS DOUBLE) AS x, CAST(b.id AS DOUBLE) AS y FROM e
+       JOIN io a ON a.time_week = e.time_week AND a.node = e.src
+       JOIN io b ON b.time_week = e.time_week AND b.node = e.dst)""", """
+SELECT time_week, round(CASE WHEN var_pop(x) > 0 AND var_pop(y) > 0
+                             THEN covar_pop(x, y) / (stddev_pop(x) * stddev_pop(y)) END, 6) AS degree_assortativity
+FROM xy GROUP BY time_week"""))
+def q_degree_assortativity(spark, d):
+    """G12 on the dense fixture F2."""
+    from txgraph.operators.mixing import degree_assortativity
+    return degree_assortativity(f2(spark, d))
+
+
+@query("edges_undirected", O.with_base("f1", "",
+       "SELECT DISTINCT time_week, least(src, dst) AS u, greatest(src, dst) AS v FROM e"))
+def q_edges_undirected(spark, d):
+    """Simple undirected graph (self-loops kept as (u, u))."""
+    return edge_ops.undirected(f1(spark, d))
+
+
+_CLUST = """
+S AS (SELECT time_week, x, y, count(*) AS s FROM
+      (SELECT time_week, src AS x, dst AS y FROM e WHERE src <> dst
+       UNION ALL SELECT time_week, dst, src FROM e WHERE src <> dst) GROUP BY ALL),
+TT AS (SELECT s1.time_week, s1.x AS node, sum(s1.s * s2.s * s3.s) AS t, count(*) AS walks
+       FROM S s1 JOIN S s2 ON s2.time_week = s1.time_week AND s2.x = s1.y
+                 JOIN S s3 ON s3.time_week = s1.time_week AND s3.x = s2.y AND s3.y = s1.x
+       GROUP BY ALL),
+DD AS (SELECT time_week, x AS node, sum(s) AS d, count(*) AS k, count(*) FILTER (WHERE s = 2) AS recip
+       FROM S GROUP BY ALL),
+C AS (SELECT v.time_week, v.node,
+        CASE WHEN coalesce(TT.t, 0) > 0 THEN TT.t / (2.0 * (DD.d * (DD.d - 1) - 2 * DD.recip)) ELSE 0.0 END AS cd,
+        CASE WHEN coalesce(TT.walks, 0) > 0 THEN TT.walks / (DD.k * (DD.k - 1.0)) ELSE 0.0 END AS cu
+      FROM v LEFT JOIN DD USING (time_week, node) LEFT JOIN TT USING (time_week, node))"""
+
+
+@query("clustering_nodes", O.with_base("f2", _CLUST,
+       "SELECT time_week, node, round(cd, 6) AS clustering_directed, round(cu, 6) AS clustering_undirected FROM C"))
+def q_clustering_nodes(spark, d):
+    """G10/G11 per node on F2."""
+    from txgraph.operators.triangles import clustering
+    return clustering(f2(spark, d))
+
+
+@query("clustering_directed", O.with_base("f2", _CLUST,
+       "SELECT time_week, round(avg(cd), 6) AS avg_clustering FROM C GROUP BY time_week"))
+def q_clustering_directed(spark, d):
+    """G10 average directed clustering (zeros included)."""
+    from txgraph.operators.triangles import average_clustering
+    return average_clustering(f2(spark, d)).select("time_week", "avg_clustering")
+
+
+@query("clustering_undirected", O.with_base("f2", _CLUST,
+       "SELECT time_week, round(avg(cu), 6) AS avg_clustering_undirected FROM C GROUP BY time_week"))
+def q_clustering_undirected(spark, d):
+    """G11 average clustering of the undirected graph."""
+    from txgraph.operators.triangles import average_clustering
+    return average_clustering(f2(spark, d)).select("time_week", "avg_clustering_undirected")
+
+
+@query("triangle_count", O.with_base("f2", _CLUST,
+       "SELECT time_week, CAST(sum(walks) / 6 AS BIGINT) AS triangles FROM TT GROUP BY time_week HAVING sum(walks) > 0"))
+def q_triangle_count(spark, d):
+    from txgraph.operators.triangles import triangle_count
+    return triangle_count(f2(spark, d))
+
+
+@query("attributes", O.with_base("f2", _CLUST + """,
+io AS (SELECT time_week, node, sum(o) AS od, sum(i) AS id FROM
+  (SELECT time_week, src AS node, 1 AS o, 0 AS i FROM e UNION ALL SELECT time_week, dst, 0, 1 FROM e) GROUP BY ALL),
+xy AS (SELECT e.time_week, CAST(a.od AS DOUBLE) AS x, CAST(b.id AS DOUBLE) AS y FROM e
+       JOIN io a ON a.time_week = e.time_week AND a.node = e.src
+       JOIN io b ON b.time_week = e.time_week AND b.node = e.dst)""", """
+SELECT c.time_week, round(c.avg_clustering, 6) AS avg_clustering, round(a.r, 6) AS degree_assortativity
+FROM (SELECT time_week, avg(cd) AS avg_clustering FROM C GROUP BY ALL) c
+JOIN (SELECT time_week, CASE WHEN var_pop(x) > 0 AND var_pop(y) > 0
+             THEN covar_pop(x, y) / (stddev_pop(x) * stddev_pop(y)) END AS r FROM xy GROUP BY ALL) a
+USING (time_week)"""))
+def q_attributes(spark, d):
+    """Weekly attributes row: average directed clustering + degree assortativity."""
+    from txgraph.operators.mixing import degree_assortativity
+    from txgraph.operators.triangles import average_clustering
+    e = f2(spark, d)
+    return (average_clustering(e).select("time_week", "avg_clustering")
+            .join(degree_assortativity(e), "time_week"))

@@ -15,6 +15,7 @@ def get_spark(master: str | None = None, app: str = "txgraph",
          .master(master or os.environ.get("TXGRAPH_MASTER", "local[8]"))
          .appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
