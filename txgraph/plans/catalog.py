@@ -251,3 +251,78 @@ def q_attributes(spark, d):
     e = f2(spark, d)
     return (average_clustering(e).select("time_week", "avg_clustering")
             .join(degree_assortativity(e), "time_week"))
+
+
+# ---------------------------------------------------------------- step 6-7: shortest paths
+
+_CLOSE = O.BFS + """,
+cl AS (SELECT v.time_week, v.node,
+         CASE WHEN coalesce(p.tot, 0) > 0 AND wc.n > 1 THEN (p.r1 / p.tot) * (p.r1 / (wc.n - 1.0)) ELSE 0.0 END
+         AS closeness
+       FROM v JOIN wc USING (time_week)
+       LEFT JOIN (SELECT time_week, t AS node, count(*) AS r1, sum(d) AS tot FROM bfs WHERE d > 0 GROUP BY ALL) p
+       USING (time_week, node))"""
+
+# Brandes' dependency as a pair sum: v lies on sigma(s,v) * sigma(v,t) of the
+# sigma(s,t) shortest s-t paths exactly when d(s,v) + d(v,t) = d(s,t)
+_BETW = O.BFS + """,
+bt AS (SELECT a.time_week, a.t AS node, sum(a.sigma * b.sigma / c.sigma) AS bc
+       FROM bfs a JOIN bfs b ON b.time_week = a.time_week AND b.s = a.t
+                  JOIN bfs c ON c.time_week = a.time_week AND c.s = a.s AND c.t = b.t
+       WHERE a.d > 0 AND b.d > 0 AND a.s <> b.t AND c.d = a.d + b.d
+       GROUP BY ALL),
+bw AS (SELECT v.time_week, v.node,
+         CASE WHEN wc.n > 2 THEN coalesce(bt.bc, 0.0) / ((wc.n - 1.0) * (wc.n - 2.0)) ELSE coalesce(bt.bc, 0.0) END
+         AS betweenness
+       FROM v JOIN wc USING (time_week) LEFT JOIN bt USING (time_week, node))"""
+
+
+def _summary_sql(rel: str, value: str, prefix: str) -> str:
+    return f"""
+SELECT s.time_week, round(s.m, 6) AS mean_{prefix}, round(s.sd, 6) AS std_{prefix},
+       round(g.gini_coefficient, 6) AS gini_coefficient
+FROM (SELECT time_week, avg({value}) AS m, stddev_pop({value}) AS sd FROM {rel} GROUP BY ALL) s
+LEFT JOIN {O.gini_sql(rel, value)} g USING (time_week)"""
+
+
+@query("closeness", O.with_base("f2", _CLOSE,
+       "SELECT time_week, node, round(closeness, 6) AS closeness FROM cl", recursive=True))
+def q_closeness(spark, d):
+    """G7 closeness (in-distance, Wasserman-Faust scaling) on F2, exact BFS from every vertex."""
+    from txgraph.operators.paths import closeness
+    return closeness(f2(spark, d))
+
+
+@query("summary_closeness", O.with_base("f2", _CLOSE, _summary_sql("cl", "closeness", "closeness"),
+                                        recursive=True))
+def q_summary_closeness(spark, d):
+    from txgraph.operators.paths import closeness
+    return stats.summarize(closeness(f2(spark, d)), "closeness", "closeness")
+
+
+@query("betweenness", O.with_base("f2", _BETW,
+       "SELECT time_week, node, round(betweenness, 6) AS betweenness FROM bw", recursive=True))
+def q_betweenness(spark, d):
+    """G8 exact Brandes betweenness on F2."""
+    from txgraph.operators.paths import betweenness
+    return betweenness(f2(spark, d))
+
+
+@query("summary_betweenness", O.with_base("f2", _BETW, _summary_sql("bw", "betweenness", "betweenness"),
+                                          recursive=True))
+def q_summary_betweenness(spark, d):
+    from txgraph.operators.paths import betweenness
+    return stats.summarize(betweenness(f2(spark, d)), "betweenness", "betweenness")
+
+
+@query("eccentricity_stats", O.with_base("f2", O.BFS + """,
+ec AS (SELECT time_week, s AS node, max(d) AS ecc, count(*) AS reach FROM bfs GROUP BY ALL)""", """
+SELECT time_week, round(avg(ecc), 6) AS mean_ecc, round(stddev_pop(ecc), 6) AS std_ecc,
+       CAST(max(ecc) AS BIGINT) AS diameter_finite,
+       CASE WHEN sum(reach) = count(*) * count(*) THEN CAST(max(ecc) AS BIGINT) END AS diameter_strict,
+       round(sum(reach) / (count(*) * count(*)), 6) AS reach_fraction
+FROM ec GROUP BY time_week""", recursive=True))
+def q_eccentricity_stats(spark, d):
+    """G13 eccentricity mean/std, finite and strict diameter, reachable share of pairs."""
+    from txgraph.operators.paths import eccentricity_stats
+    return eccentricity_stats(f2(spark, d))

@@ -35,9 +35,23 @@ wc AS (SELECT time_week, (SELECT count(*) FROM v WHERE v.time_week = x.time_week
        FROM e x GROUP BY time_week)"""
 
 
-def with_base(fixture: str, ctes: str, select: str) -> str:
+def with_base(fixture: str, ctes: str, select: str, recursive: bool = False) -> str:
     extra = (",\n" + ctes) if ctes.strip() else ""
-    return f"WITH {base(fixture)}{extra}\n{select}"
+    return f"WITH {'RECURSIVE ' if recursive else ''}{base(fixture)}{extra}\n{select}"
+
+
+# all-sources BFS: one row per (week, source s, reached t) with distance d and
+# number of shortest paths sigma; USING KEY keeps the first (shortest) visit
+BFS = """
+bfs(time_week, s, t, d, sigma) USING KEY (time_week, s, t) AS (
+  SELECT time_week, node, node, 0, CAST(1.0 AS DOUBLE) FROM v
+  UNION
+  SELECT e.time_week, b.s, e.dst, any_value(b.d) + 1, sum(b.sigma)
+  FROM bfs b JOIN e ON e.time_week = b.time_week AND e.src = b.t
+  WHERE e.src <> e.dst
+    AND NOT EXISTS (SELECT 1 FROM recurring.bfs r
+                    WHERE r.time_week = e.time_week AND r.s = b.s AND r.t = e.dst)
+  GROUP BY ALL)"""
 
 
 def gini_sql(vals: str, value: str, out: str = "gini_coefficient") -> str:
