@@ -326,3 +326,47 @@ def q_eccentricity_stats(spark, d):
     """G13 eccentricity mean/std, finite and strict diameter, reachable share of pairs."""
     from txgraph.operators.paths import eccentricity_stats
     return eccentricity_stats(f2(spark, d))
+
+
+# ---------------------------------------------------------------- step 8: eigenvector
+
+# power iteration with per-week stop: identity edges give y = x + A^T x in one join;
+# a week's rows stop being expanded once it converged or spent 1000 steps
+_EIG = """
+E2 AS (SELECT time_week, src, dst, 0 AS ident FROM e UNION ALL SELECT time_week, node, node, 1 FROM v),
+pw(time_week, node, x, it, conv, fin) USING KEY (time_week, node) AS (
+  SELECT time_week, node, 1.0 / count(*) OVER (PARTITION BY time_week), 0, false, false FROM v
+  UNION
+  SELECT time_week, node, xn, it + 1, l1 < n * 1e-6, l1 < n * 1e-6 OR it + 1 >= 1000 FROM (
+    SELECT *, sum(abs(xn - xo)) OVER (PARTITION BY time_week) AS l1,
+              count(*) OVER (PARTITION BY time_week) AS n FROM (
+      SELECT *, y / sqrt(sum(y * y) OVER (PARTITION BY time_week)) AS xn FROM (
+        SELECT p.time_week, E2.dst AS node, sum(p.x) AS y, any_value(p.it) AS it,
+               sum(CASE WHEN E2.ident = 1 THEN p.x END) AS xo
+        FROM pw p JOIN E2 ON E2.time_week = p.time_week AND E2.src = p.node
+        WHERE NOT p.fin
+        GROUP BY p.time_week, E2.dst))))"""
+
+
+@query("eigenvector", O.with_base("f2", _EIG,
+       "SELECT time_week, node, round(x, 6) AS eigenvector_centrality FROM pw WHERE conv", recursive=True))
+def q_eigenvector(spark, d):
+    """G9 eigenvector centrality on F2; weeks that do not converge in 1000 steps have no rows."""
+    from txgraph.operators.spectral import eigenvector_centrality
+    return eigenvector_centrality(f2(spark, d))
+
+
+@query("eigenvector_convergence", O.with_base("f2", _EIG, """
+SELECT time_week, CAST(max(it) AS BIGINT) AS iterations, bool_or(conv) AS converged FROM pw GROUP BY time_week""",
+       recursive=True))
+def q_eigenvector_convergence(spark, d):
+    """Steps used per week and whether the week converged."""
+    from txgraph.operators.spectral import eigenvector_iterate
+    return eigenvector_iterate(f2(spark, d))[1]
+
+
+@query("summary_eigenvector", O.with_base("f2", _EIG + ",\nev AS (SELECT time_week, node, x FROM pw WHERE conv)",
+                                          _summary_sql("ev", "x", "eigenvector"), recursive=True))
+def q_summary_eigenvector(spark, d):
+    from txgraph.operators.spectral import eigenvector_centrality
+    return stats.summarize(eigenvector_centrality(f2(spark, d)), "eigenvector_centrality", "eigenvector")
