@@ -370,3 +370,45 @@ def q_eigenvector_convergence(spark, d):
 def q_summary_eigenvector(spark, d):
     from txgraph.operators.spectral import eigenvector_centrality
     return stats.summarize(eigenvector_centrality(f2(spark, d)), "eigenvector_centrality", "eigenvector")
+
+
+# ---------------------------------------------------------------- step 9: core-periphery
+
+_CORE = """
+P AS (SELECT DISTINCT time_week, least(src, dst) AS u, greatest(src, dst) AS v FROM e WHERE src <> dst),
+K AS (SELECT v.time_week, v.node, count(P.u) AS kd FROM v
+      LEFT JOIN P ON P.time_week = v.time_week AND (P.u = v.node OR P.v = v.node) GROUP BY ALL),
+R AS (SELECT time_week, node, row_number() OVER (PARTITION BY time_week ORDER BY kd DESC, node) AS r,
+             count(*) OVER (PARTITION BY time_week) AS n FROM K),
+PE AS (SELECT P.time_week, greatest(a.r, b.r) AS hi, least(a.r, b.r) AS lo FROM P
+       JOIN R a ON a.time_week = P.time_week AND a.node = P.u JOIN R b ON b.time_week = P.time_week AND b.node = P.v),
+X AS (SELECT R.time_week, R.r AS k, R.n,
+        (SELECT count(*) FROM PE WHERE PE.time_week = R.time_week) AS L,
+        (SELECT count(*) FROM PE WHERE PE.time_week = R.time_week AND PE.hi <= R.r) AS l_c,
+        (SELECT count(*) FROM PE WHERE PE.time_week = R.time_week AND PE.lo <= R.r AND PE.hi > R.r) AS l_cp
+      FROM R WHERE R.r < R.n),
+S AS (SELECT *, L - l_c - l_cp AS l_p, k * (k - 1) / 2.0 AS vc, k * (n - k) * 1.0 AS vcp,
+             (n - k) * (n - k - 1) / 2.0 AS vp, n * (n - 1) / 2.0 AS vt FROM X),
+SC AS (SELECT time_week, k, L * (
+          (CASE WHEN l_c > 0 THEN (l_c / L) * ln((l_c / L) / (vc / vt)) ELSE 0 END) +
+          (CASE WHEN l_cp > 0 THEN (l_cp / L) * ln((l_cp / L) / (vcp / vt)) ELSE 0 END) +
+          (CASE WHEN l_p > 0 THEN (l_p / L) * ln((l_p / L) / (vp / vt)) ELSE 0 END)) AS score
+       FROM S WHERE L > 0 AND l_c * vp >= l_p * vc),
+B AS (SELECT time_week, arg_max(k, (round(score, 9), -k)) AS core_count FROM SC GROUP BY ALL),
+CP AS (SELECT wc.time_week, CAST(coalesce(B.core_count, 0) AS BIGINT) AS core_count, wc.n AS network_size
+       FROM (SELECT time_week, count(*) AS n FROM v GROUP BY ALL) wc LEFT JOIN B USING (time_week))"""
+
+
+@query("core_periphery", O.with_base("f1", _CORE, "SELECT time_week, core_count, network_size FROM CP"))
+def q_core_periphery(spark, d):
+    """G14 + A11: core size by the best degree-ordered surprise cut, and network size."""
+    from txgraph.operators.core import core_periphery
+    return core_periphery(f1(spark, d))
+
+
+@query("core_ratio", O.with_base("f1", _CORE, """
+SELECT time_week, core_count, network_size, round(core_count / network_size, 6) AS core_ratio FROM CP"""))
+def q_core_ratio(spark, d):
+    """P8 core ratio per week."""
+    from txgraph.operators.core import core_periphery, core_ratio
+    return core_ratio(core_periphery(f1(spark, d)))
