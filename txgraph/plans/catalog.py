@@ -412,3 +412,41 @@ def q_core_ratio(spark, d):
     """P8 core ratio per week."""
     from txgraph.operators.core import core_periphery, core_ratio
     return core_ratio(core_periphery(f1(spark, d)))
+
+
+# ---------------------------------------------------------------- step 10: series
+
+def _series_sql(inner: str) -> str:
+    """Date columns + reference exclusion around a weekly oracle query."""
+    return f"""
+SELECT CAST(make_date(year, 1, 1) + 7 * week AS TIMESTAMP) AS date, * FROM (
+  SELECT CAST(substr(time_week, 1, 4) AS INT) AS year, CAST(substr(time_week, 5) AS INT) AS week, s.*
+  FROM ({inner}) s)
+WHERE NOT ((year = 2018 AND week BETWEEN 1 AND 25) OR (year = 2022 AND week BETWEEN 35 AND 53))"""
+
+
+def _series(name: str, base_name: str, cols: list[str] | None = None):
+    inner = ORACLE[base_name]
+    if cols:
+        inner = f"SELECT time_week, {', '.join(cols)} FROM ({inner}) b"
+
+    @query(name, _series_sql(inner))
+    def q(spark, d):
+        from txgraph.plans.series import series
+        df = QUERIES[base_name](spark, d)
+        if cols:
+            df = df.select("time_week", *cols)
+        return series(df)
+    q.__doc__ = f"Dated series of {base_name}."
+    return q
+
+
+_series("series_basic", "degree_stats", ["nr_nodes", "nr_edges", "density"])
+_series("series_degree_centrality", "summary_degree_centrality")
+_series("series_closeness", "summary_closeness")
+_series("series_betweenness", "summary_betweenness")
+_series("series_eigenvector", "summary_eigenvector")
+_series("series_attributes", "attributes")
+_series("series_clustering_undirected", "clustering_undirected")
+_series("series_eccentricity", "eccentricity_stats")
+_series("series_core_ratio", "core_ratio", ["core_ratio"])
