@@ -21,6 +21,8 @@ with the same budget; weeks above the bound always stay on the distributed path.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -105,6 +107,7 @@ def eigenvector_iterate(e: DataFrame, max_iter: int = MAX_ITER, tol: float = TOL
 
     ``tail_edges < 0`` keeps every step on the distributed path.
     """
+    e = cut(e.select(W, "src", "dst"))
     adj, ns = salted_adjacency(e, loops=True, chunk=chunk, identity=True)
     adj = cut(adj.repartition(W, "frm", "salt"))
     weeks_n = cut(ns.groupBy(W).agg(F.count(F.lit(1)).alias("n")))
@@ -115,11 +118,15 @@ def eigenvector_iterate(e: DataFrame, max_iter: int = MAX_ITER, tol: float = TOL
     while True:
         res = _dstep(state, adj, weeks_n, tol)
         stop = F.col("converged") | (F.col("it") >= max_iter)
-        finished.append(res.where(stop).select(W, "node", "x", "it", "converged"))
+        cnt = res.agg(F.count_if(stop).alias("stopped"), F.count_if(~stop).alias("active")).first()
+        if cnt["stopped"]:
+            finished.append(res.where(stop).select(W, "node", "x", "it", "converged"))
+            if len(finished) >= 32:  # keep the final union (and the driver's plan) small
+                finished = [cut(reduce(DataFrame.unionByName, finished))]
         state = res.where(~stop).select(W, "node", "ns", "x", "it")
-        active = state.select(W).distinct()
-        if active.isEmpty():
+        if not cnt["active"]:
             break
+        active = state.select(W).distinct()
         if tail_edges >= 0:
             m = week_edges.join(active, W, "left_semi").agg(F.sum("m")).first()[0] or 0
             if m <= tail_edges:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,10 +51,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably and cut its lineage (survives executor loss).
+    """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
 
-    ``checkpoint`` keeps ``outputPartitioning``, so a table hash-partitioned by
-    its join key stays co-partitioned for the next iteration.
+    Written as Parquet and read back with the known schema: the result is a
+    plain scan, so an iteration's plan never grows with the number of steps
+    (``Dataset.checkpoint`` keeps the origin plan of every earlier step, which
+    the optimizer re-walks).  Files live under ``spark.checkpoint.dir``, so a
+    lost executor costs a re-read, not a recomputation.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
