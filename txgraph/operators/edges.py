@@ -45,6 +45,7 @@ def undirected(e: DataFrame, keep_loops: bool = True) -> DataFrame:
 
 def week_counts(e: DataFrame) -> DataFrame:
     """A2 + A3: ``(time_week, n, m)``; one row per week (tiny, broadcastable by AQE)."""
-    m = e.groupBy(W).agg(F.count(F.lit(1)).alias("m"))
-    n = vertices(e).groupBy(W).agg(F.count(F.lit(1)).alias("n"))
-    return n.join(m, W, "inner").select(W, "n", "m")
+    # one pass: every edge has two ends, so m = (number of edge ends) / 2
+    per_node = endpoints(e).groupBy(W, "node").agg(F.count(F.lit(1)).alias("ends"))
+    return per_node.groupBy(W).agg(F.count(F.lit(1)).alias("n"),
+                                   (F.sum("ends") / 2).cast("bigint").alias("m"))

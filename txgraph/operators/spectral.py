@@ -26,7 +26,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txgraph.operators.adjacency import SALT_CHUNK, fan_out, salted_adjacency
+from txgraph.operators.adjacency import SALT_CHUNK, fan_out, node_salts, salted_adjacency
 from txgraph.operators.edges import W
 from txgraph.session import cut
 
@@ -108,8 +108,9 @@ def eigenvector_iterate(e: DataFrame, max_iter: int = MAX_ITER, tol: float = TOL
     ``tail_edges < 0`` keeps every step on the distributed path.
     """
     e = cut(e.select(W, "src", "dst"))
-    adj, ns = salted_adjacency(e, loops=True, chunk=chunk, identity=True)
-    adj = cut(adj.repartition(W, "frm", "salt"))
+    ns, mx = node_salts(e, loops=True, chunk=chunk, identity=True)
+    ns = cut(ns)
+    adj = cut(salted_adjacency(e, ns, mx, loops=True, identity=True).repartition(W, "frm", "salt"))
     weeks_n = cut(ns.groupBy(W).agg(F.count(F.lit(1)).alias("n")))
     week_edges = adj.groupBy(W).agg(F.count(F.lit(1)).alias("m"))
     state = ns.join(weeks_n, W).select(W, "node", "ns", (1.0 / F.col("n")).alias("x"),
