@@ -14,15 +14,18 @@ from pyspark.sql import functions as F
 W = "time_week"
 
 
-def edges(tx: DataFrame, src: str = "src", dst: str = "dst", week: str = W) -> DataFrame:
-    """P3 + A1: drop null endpoints, one row per directed pair and week.
+def edges(tx: DataFrame, src: str = "src", dst: str = "dst", week: str = W,
+          relationship: str | None = None) -> DataFrame:
+    """P2 + P3 + A1 (+ P4): drop null endpoints, one row per directed pair and week.
 
     A hash aggregate with map-side partial counts, so a hot pair or hot
     account costs one row per task in the shuffle, not one per transaction.
+    ``relationship`` adds the constant label column of the reference edge list.
     """
-    return (tx.where(F.col(src).isNotNull() & F.col(dst).isNotNull())
-            .groupBy(F.col(week).alias(W), F.col(src).alias("src"), F.col(dst).alias("dst"))
-            .agg(F.count(F.lit(1)).alias("n_tx")))
+    out = (tx.where(F.col(src).isNotNull() & F.col(dst).isNotNull())
+           .groupBy(F.col(week).alias(W), F.col(src).alias("src"), F.col(dst).alias("dst"))
+           .agg(F.count(F.lit(1)).alias("n_tx")))
+    return out if relationship is None else out.withColumn("relationship", F.lit(relationship))
 
 
 def endpoints(e: DataFrame) -> DataFrame:

@@ -25,11 +25,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def rounded(df: DataFrame, places: int = 6) -> DataFrame:
+def stable_round(c):
+    """Round to 6 places so that two engines agree: snap to a 1e-10 grid first
+    (removes last-bit noise of different summation orders), then round half away
+    from zero at 6 places; both steps are ``round(x * 10^k) / 10^k``, which
+    Spark and DuckDB evaluate identically."""
+    return F.round(F.round(c * 1e10) / 1e10 * 1e6) / 1e6
+
+
+def rounded(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(F.round(F.col(f.name), places).alias(f.name))
+            cols.append(stable_round(F.col(f.name)).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
@@ -40,7 +48,7 @@ def query(name: str, sql: str | None):
         QUERIES[name] = lambda spark, sf_dir: rounded(fn(spark, sf_dir))
         QUERIES[name].__doc__ = fn.__doc__
         if sql is not None:
-            ORACLE[name] = sql
+            ORACLE[name] = O.stable_round_sql(sql)
         return fn
     return deco
 

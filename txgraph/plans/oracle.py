@@ -67,3 +67,39 @@ def gini_sql(vals: str, value: str, out: str = "gini_coefficient") -> str:
       JOIN (SELECT time_week, CAST({value} AS DOUBLE) AS x, count(*) AS c FROM {vals} GROUP BY ALL) b
         USING (time_week)
       GROUP BY a.time_week)"""
+
+
+def stable_round_sql(sql: str) -> str:
+    """Rewrite every ``round(<expr>, 6)`` as ``round(round((<expr>) * 1e10) / 1e10 * 1e6) / 1e6``,
+    the same two-step rounding the Spark side applies (see ``catalog.stable_round``)."""
+    out, i, low = [], 0, sql.lower()
+    while True:
+        j = low.find("round(", i)
+        if j < 0 or (j > 0 and (low[j - 1].isalnum() or low[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k, comma = 0, j + 5, None
+        while k < len(sql):
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            elif ch == "," and depth == 1:
+                comma = k
+            k += 1
+        args_end = k
+        if comma is not None and sql[comma + 1:args_end].strip() == "6":
+            inner = stable_round_sql(sql[j + 6:comma])
+            out.append(sql[i:j])
+            out.append(f"(round(round(({inner}) * 1e10) / 1e10 * 1e6) / 1e6)")
+            i = args_end + 1
+        else:
+            out.append(sql[i:j + 6])
+            i = j + 6

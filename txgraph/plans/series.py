@@ -46,3 +46,15 @@ def series(df: DataFrame, exclude=REFERENCE_EXCLUDE, week: str = W) -> DataFrame
 def concat(parts: list[DataFrame]) -> DataFrame:
     """Union of weekly results by column name."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def degree_distribution(e: DataFrame, bins: int = 30) -> dict[str, DataFrame]:
+    """V7: the tables behind the degree-distribution figure, for every week.
+
+    ``pdf`` unit-bin PDF (A9, empty bins dropped as P10), ``markers`` median,
+    p95, p99 (A6, A7) and ``histogram`` the equal-width density histogram (A10).
+    """
+    from txgraph.operators.degree import degree_histogram, degree_pdf, node_degree
+    from txgraph.operators.stats import percentiles
+    return {"pdf": degree_pdf(e), "markers": percentiles(node_degree(e), "degree"),
+            "histogram": degree_histogram(e, bins)}

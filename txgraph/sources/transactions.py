@@ -63,6 +63,11 @@ def read_weekly(spark: SparkSession, root: str, fmt: str = "parquet",
     return df.withColumn(PART, F.col(PART).cast("string")).withColumnRenamed(PART, "time_week")
 
 
+def read_week(spark: SparkSession, root: str, key: str, fmt: str = "parquet") -> DataFrame:
+    """One week of a weekly sink (a partition filter, so only its folder is listed)."""
+    return read_weekly(spark, root, fmt).where(F.col("time_week") == key)
+
+
 def _done_weeks(spark: SparkSession, sink_root: str, fmt: str) -> DataFrame | None:
     try:
         done = spark.read.format(fmt).option("header", "true").load(sink_root)
