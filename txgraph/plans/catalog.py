@@ -29,8 +29,9 @@ def stable_round(c):
     """Round to 6 places so that two engines agree: snap to a 1e-10 grid first
     (removes last-bit noise of different summation orders), then round half away
     from zero at 6 places; both steps are ``round(x * 10^k) / 10^k``, which
-    Spark and DuckDB evaluate identically."""
-    return F.round(F.round(c * 1e10) / 1e10 * 1e6) / 1e6
+    Spark and DuckDB evaluate identically.  -0.0 becomes 0.0."""
+    r = F.round(F.round(c * 1e10) / 1e10 * 1e6) / 1e6
+    return F.when(r == 0, F.lit(0.0)).otherwise(r)  # no negative zero
 
 
 def rounded(df: DataFrame) -> DataFrame:

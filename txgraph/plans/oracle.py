@@ -98,7 +98,8 @@ def stable_round_sql(sql: str) -> str:
         if comma is not None and sql[comma + 1:args_end].strip() == "6":
             inner = stable_round_sql(sql[j + 6:comma])
             out.append(sql[i:j])
-            out.append(f"(round(round(({inner}) * 1e10) / 1e10 * 1e6) / 1e6)")
+            r = f"(round(round(({inner}) * 1e10) / 1e10 * 1e6) / 1e6)"
+            out.append(f"(CASE WHEN {r} = 0 THEN 0.0 ELSE {r} END)")
             i = args_end + 1
         else:
             out.append(sql[i:j + 6])
