@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from txgraph.operators.adjacency import SALT_CHUNK, fan_out, node_salts, salted_adjacency
 from txgraph.operators.edges import W
-from txgraph.session import cut
+from txgraph.session import cut, loop_side
 
 MAX_ITER = 1000   # fixed value of the reference call
 TOL = 1e-6        # fixed value: default tolerance of the reference library
@@ -110,7 +110,7 @@ def eigenvector_iterate(e: DataFrame, max_iter: int = MAX_ITER, tol: float = TOL
     e = cut(e.select(W, "src", "dst"))
     ns, mx = node_salts(e, loops=True, chunk=chunk, identity=True)
     ns = cut(ns)
-    adj = cut(salted_adjacency(e, ns, mx, loops=True, identity=True).repartition(W, "frm", "salt"))
+    adj = loop_side(salted_adjacency(e, ns, mx, loops=True, identity=True), W, "frm", "salt")
     weeks_n = cut(ns.groupBy(W).agg(F.count(F.lit(1)).alias("n")))
     week_edges = adj.groupBy(W).agg(F.count(F.lit(1)).alias("m"))
     state = ns.join(weeks_n, W).select(W, "node", "ns", (1.0 / F.col("n")).alias("x"),

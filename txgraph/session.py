@@ -63,3 +63,35 @@ def cut(df: DataFrame) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def pin(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition ``df`` on ``keys`` and keep it in memory (spilling to disk).
+
+    For the loop-invariant side of an iteration (the adjacency): the cached
+    table keeps its hash partitioning, so each step shuffles only the small
+    state side of the join, never the adjacency.  Its lineage must be short
+    (a scan of a ``cut`` table and a repartition): a lost executor's blocks are
+    recomputed from that, not from the whole job.
+    """
+    from pyspark import StorageLevel
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = df.repartition(n, *keys).persist(StorageLevel.MEMORY_AND_DISK)
+    out.count()
+    return out
+
+
+BROADCAST_ROWS = 250_000  # tunable: loop-invariant sides up to this many rows are broadcast
+
+
+def loop_side(df: DataFrame, *keys: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Prepare the loop-invariant side of an iterative join, by checked size.
+
+    The table is materialised once (``cut``) and counted; up to ``max_rows``
+    rows it is broadcast to every step (the large state side is never
+    shuffled for the join), beyond that it is ``pin``-ned hash-partitioned on
+    the join keys so only the state side moves.
+    """
+    from pyspark.sql import functions as F
+    t = cut(df)
+    return F.broadcast(t) if t.count() <= max_rows else pin(t, *keys)
