@@ -133,6 +133,7 @@ def eigenvector_iterate(e: DataFrame, max_iter: int = MAX_ITER, tol: float = TOL
             if m <= tail_edges:
                 finished.append(cut(_finish_in_task(state, adj, max_iter, tol)))
                 break
+    adj.unpersist()  # the results read cut tables only
     out = finished[0]
     for f in finished[1:]:
         out = out.unionByName(f)
