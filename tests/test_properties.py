@@ -117,3 +117,13 @@ def test_triangles_match_bruteforce(f2):
         t = sum(1 for a, b, c in itertools.combinations(sorted(adj), 3)
                 if b in adj[a] and c in adj[a] and c in adj[b])
         assert got.get(w, 0) == t
+
+
+def test_hyperball_closeness_matches_exact_on_small_balls(f2):
+    from txgraph.operators.paths import closeness, closeness_approx
+    weeks = [r.time_week for r in f2.select("time_week").distinct().limit(8).collect()]
+    small = f2.where(F.col("time_week").isin(weeks))
+    a = {(r[0], r[1]): r[2] for r in closeness_approx(small).collect()}
+    b = {(r[0], r[1]): r[2] for r in closeness(small).collect()}
+    assert a.keys() == b.keys()
+    assert all(a[k] == pytest.approx(b[k], abs=1e-9) for k in a)

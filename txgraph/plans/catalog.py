@@ -462,3 +462,14 @@ _series("series_attributes", "attributes")
 _series("series_clustering_undirected", "clustering_undirected")
 _series("series_eccentricity", "eccentricity_stats")
 _series("series_core_ratio", "core_ratio", ["core_ratio"])
+
+
+# ---------------------------------------------------------------- step 12: approximate closeness
+
+@query("closeness_approx", O.with_base("f2", _CLOSE,
+       "SELECT time_week, node, round(closeness, 6) AS closeness_approx FROM cl", recursive=True))
+def q_closeness_approx(spark, d):
+    """G7 by HyperBall (HLL balls, O(sketch) state per node).  Sketches are exact
+    for the small balls of these weeks, so the exact oracle applies."""
+    from txgraph.operators.paths import closeness_approx
+    return closeness_approx(f2(spark, d))
