@@ -127,3 +127,12 @@ def test_hyperball_closeness_matches_exact_on_small_balls(f2):
     b = {(r[0], r[1]): r[2] for r in closeness(small).collect()}
     assert a.keys() == b.keys()
     assert all(a[k] == pytest.approx(b[k], abs=1e-9) for k in a)
+
+
+def test_sampled_betweenness_is_unbiased_scale(f2):
+    from txgraph.operators.paths import betweenness
+    exact = betweenness(f2).groupBy("time_week").agg(F.sum("betweenness").alias("s"))
+    approx_ = betweenness(f2, sample_fraction=0.5).groupBy("time_week").agg(F.sum("betweenness").alias("s"))
+    a = exact.agg(F.sum("s")).first()[0]
+    b = approx_.agg(F.sum("s")).first()[0]
+    assert b == pytest.approx(a, rel=0.25)  # half the sources, rescaled: same total within sampling error
