@@ -127,3 +127,19 @@ def test_core_periphery(e):
     star = cp[WEEK["STAR"]]
     assert star["network_size"] == 4 and 1 <= star["core_count"] <= 3
     assert all(r["core_count"] <= r["network_size"] for r in cp.values())
+
+
+def test_weekly_report_all_metrics_one_job(e):
+    from txgraph.plans.weekly import weekly_report
+    rep = week_rows(weekly_report(e))
+    c3 = rep[WEEK["C3"]]
+    assert (c3["nr_nodes"], c3["nr_edges"]) == (3, 3)
+    assert c3["mean_closeness"] == approx(2 / 3) and c3["mean_betweenness"] == approx(0.5)
+    assert c3["mean_eigenvector"] == approx(1 / math.sqrt(3)) and c3["eigenvector_converged"]
+    assert c3["avg_clustering"] == approx(0.5) and c3["avg_clustering_undirected"] == approx(1.0)
+    assert c3["diameter_strict"] == 2 and c3["degree_assortativity"] is None
+    assert c3["gini_centrality"] == approx(0.0)
+    mix = rep[WEEK["MIX"]]
+    assert mix["avg_clustering"] == approx(2 / 3) and mix["degree_assortativity"] == approx(0.0, abs=1e-12)
+    assert rep[WEEK["STAR"]]["gini_betweenness"] is None
+    assert set(rep) == set(WEEK.values()) | {"20205"}
