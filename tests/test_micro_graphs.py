@@ -143,3 +143,16 @@ def test_weekly_report_all_metrics_one_job(e):
     assert mix["avg_clustering"] == approx(2 / 3) and mix["degree_assortativity"] == approx(0.0, abs=1e-12)
     assert rep[WEEK["STAR"]]["gini_betweenness"] is None
     assert set(rep) == set(WEEK.values()) | {"20205"}
+
+
+def test_weekly_report_string_ids(spark):
+    """Account ids of the transaction store are strings: every operator takes them."""
+    from pyspark.sql import functions as F
+    from txgraph.plans.weekly import weekly_report
+    t = tx(spark).select("time_week", F.concat(F.lit("acct"), F.col("src")).alias("src"),
+                         F.concat(F.lit("acct"), F.col("dst")).alias("dst"))
+    rep = week_rows(weekly_report(E.edges(t)))
+    c3, mix = rep[WEEK["C3"]], rep[WEEK["MIX"]]
+    assert c3["mean_closeness"] == approx(2 / 3) and c3["mean_eigenvector"] == approx(1 / math.sqrt(3))
+    assert mix["avg_clustering"] == approx(2 / 3) and mix["mean_betweenness"] == approx(1 / 3)
+    assert rep[WEEK["STAR"]]["core_count"] >= 1
