@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from txgraph.llm import winnowing
+from txgraph.llm.language_id import op4_language_id
+from txgraph.llm.ngram_lm import op1_lm_score
 from txgraph.llm.packing import op7_packing
 from txgraph.llm.token_files import op5_token_files
 
 QUERIES = {
+    "op1_lm_score": op1_lm_score,
+    "op4_language_id": op4_language_id,
     "op5_token_files": op5_token_files,
     "op7_packing": op7_packing,
+    "op10_decontamination": winnowing.op10_decontamination,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op10_decontamination": winnowing.ORACLE}
