@@ -129,3 +129,50 @@ def distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index of each value among the distinct ones, and the distinct values in order of first occurrence."""
     d = pa.array(h).dictionary_encode()
     return d.indices.to_numpy(zero_copy_only=False).astype(np.int64), d.dictionary.to_numpy(zero_copy_only=False)
+
+
+def ascii_words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of the words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of lower-cased bytes."""
+    n = len(data)
+    word = (data >= 0x80) | ((data >= 97) & (data <= 122)) | ((data >= 48) & (data <= 57))
+    first = word.copy()
+    first[1:] &= ~word[:-1]
+    head = off[:-1][off[:-1] < n]
+    first[head] = word[head]
+    last = word.copy()
+    last[:-1] &= ~word[1:]
+    tail = off[1:][off[1:] > 0] - 1
+    last[tail] = word[tail]
+    start = np.flatnonzero(first)
+    return start, np.flatnonzero(last) + 1, np.searchsorted(off, start, "right") - 1
+
+
+def shingles(data: np.ndarray, off: np.ndarray, size: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash and row of each run of ``size`` words, word hashes, and the texts' offsets in them.
+
+    A text of fewer words, but not none, has one shingle of them all.
+    """
+    data = lower_ascii(data)
+    start, end, row = ascii_words(data, off)
+    h = slice_hashes(data, start, end)
+    n = len(off) - 1
+    per = np.bincount(row, minlength=n)
+    woff = np.concatenate([[0], np.cumsum(per)])
+    runs = np.maximum(per - size + 1, (per > 0).astype(np.int64))
+    srow = np.repeat(np.arange(n), runs)
+    a = np.arange(int(runs.sum())) - np.repeat(np.cumsum(runs) - runs, runs) + woff[srow]
+    z = np.minimum(a + size, woff[srow + 1])
+    return slice_hashes(h, a, z), srow, h, woff
+
+
+def occurrences(h: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Hash of each (value, how often it came before in its row): a multiset as a set."""
+    idx, keys = distinct(h ^ mix64(row.astype(np.uint64) + np.uint64(0x5851F42D4C957F2D)))
+    count = np.bincount(idx, minlength=len(keys))
+    nth = np.zeros(len(h), np.uint64)
+    again = np.flatnonzero(count[idx] > 1)
+    if len(again):
+        order = again[np.argsort(idx[again], kind="stable")]
+        head = np.flatnonzero(np.diff(idx[order], prepend=-1))
+        nth[order] = (np.arange(len(order)) - np.repeat(head, np.diff(np.append(head, len(order))))).astype(np.uint64)
+    return mix64(h + nth * np.uint64(0xA0761D6478BD642F))
