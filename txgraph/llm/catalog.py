@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from txgraph.llm import winnowing
 from txgraph.llm.language_id import op4_language_id
+from txgraph.llm.line_dedup import op3_line_dedup
+from txgraph.llm.near_dedup import op2_near_dedup
 from txgraph.llm.ngram_lm import op1_lm_score
 from txgraph.llm.packing import op7_packing
 from txgraph.llm.token_files import op5_token_files
 
 QUERIES = {
     "op1_lm_score": op1_lm_score,
+    "op2_near_dedup": op2_near_dedup,
+    "op3_line_dedup": op3_line_dedup,
     "op4_language_id": op4_language_id,
     "op5_token_files": op5_token_files,
     "op7_packing": op7_packing,
