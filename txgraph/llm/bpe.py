@@ -2,7 +2,7 @@
 
 Byte-level BPE works on each piece of its pre-tokenising pattern by itself, so
 a text's ids are its pieces' ids one after another.  The pieces of a chunk are
-cut with numpy, each distinct piece is encoded once by the library, and its ids
+cut with numpy, each distinct piece is encoded once by the library's model, and its ids
 are kept for later chunks of the worker (``CACHE`` pieces at most, then the memory
 starts afresh; it changes speed only).  Texts that hold the string of an added
 token are encoded whole.
@@ -19,10 +19,58 @@ import pyarrow as pa
 from txgraph.llm.kernels import (LETTER, OTHER, SPACE, char_classes, decode_points, distinct,
                                  slice_hashes, text_chunks)
 
-CACHE = 600_000
+CACHE = 1_500_000
 END = 0
 
 
+class Table:
+    """Hash table from non-zero 64-bit keys to row numbers, many keys at a time."""
+
+    def __init__(self, bits: int = 16):
+        self.keys = np.zeros(1 << bits, np.uint64)
+        self.rows = np.zeros(1 << bits, np.int32)
+        self.n = 0
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Row of each key, -1 if it is not there."""
+        mask = np.uint64(len(self.keys) - 1)
+        out = np.full(len(keys), -1, np.int32)
+        todo, slot = np.arange(len(keys)), (keys & mask).astype(np.int64)
+        want = keys
+        while len(todo):
+            got = self.keys[slot]
+            hit = got == want
+            out[todo[hit]] = self.rows[slot[hit]]
+            on = np.flatnonzero(~hit & (got != 0))
+            todo, want, slot = todo[on], want[on], (slot[on] + 1) & int(mask)
+        return out
+
+    def add(self, keys: np.ndarray, rows: np.ndarray) -> None:
+        """Add distinct keys that are not there."""
+        if 2 * (self.n + len(keys)) > len(self.keys):
+            old, old_rows = self.keys, self.rows
+            self.__init__(int(4 * (self.n + len(keys))).bit_length())
+            full = old != 0
+            self.add(old[full], old_rows[full])
+        mask = len(self.keys) - 1
+        self.n += len(keys)
+        slot = (keys & np.uint64(mask)).astype(np.int64)
+        while len(keys):
+            free = self.keys[slot] == 0
+            self.keys[slot[free]] = keys[free]  # of several keys for one slot the last stays
+            mine = self.keys[slot] == keys
+            self.rows[slot[mine]] = rows[mine]
+            keys, rows, slot = keys[~mine], rows[~mine], (slot[~mine] + 1) & mask
+
+
+@functools.cache
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level BPE: printable bytes as they are, the others from U+0100 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 def public_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
@@ -73,19 +121,22 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
+        if type(self.tok.pre_tokenizer).__name__ != "ByteLevel" or self.tok.normalizer is not None:
+            raise ValueError("a byte-level BPE tokenizer without normaliser is needed")
         self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.vocab = self.tok.get_vocab_size()
         self._reset()
 
     def _reset(self) -> None:
-        self.at: dict[int, int] = {}
+        self.at = Table()
         self.flat = np.zeros(1 << 16, np.int32)  # 0 is the end id
         self.off = np.zeros(1 << 12, np.int64)
         self.len = np.ones(1 << 12, np.int64)
         self.rows, self.used = 1, 1  # row 0: the end id
 
-    def _add(self, keys: list[int], pieces: list[str]) -> None:
-        ids = [e.ids for e in self.tok.encode_batch(pieces, add_special_tokens=False)]
+    def _add(self, keys: np.ndarray, pieces: list[str]) -> None:
+        tokenize, letters = self.tok.model.tokenize, byte_letters()
+        ids = [[t.id for t in tokenize(p.encode().decode("latin-1").translate(letters))] for p in pieces]
         lens = np.fromiter(map(len, ids), np.int64, len(ids))
         total = int(lens.sum())
         while self.used + total > len(self.flat):
@@ -96,7 +147,7 @@ class Encoder:
         self.flat[self.used:self.used + total] = [x for one in ids for x in one]
         self.off[self.rows:self.rows + len(ids)] = self.used + np.cumsum(lens) - lens
         self.len[self.rows:self.rows + len(ids)] = lens
-        self.at.update(zip(keys, range(self.rows, self.rows + len(ids))))
+        self.at.add(keys, np.arange(self.rows, self.rows + len(ids), dtype=np.int32))
         self.used += total
         self.rows += len(ids)
 
@@ -107,19 +158,19 @@ class Encoder:
             return self._whole(text, coff)
         start = piece_starts(cp, coff)
         end = np.append(start[1:], len(cp)) if len(start) else start
-        h = slice_hashes(cp, start, end)
-        idx, keys = distinct(h)
-        if self.rows + len(keys) > CACHE:
-            self._reset()
-        keys = keys.tolist()
-        rows = np.fromiter((self.at.get(x, -1) for x in keys), np.int64, len(keys))
+        h = slice_hashes(cp, start, end) | np.uint64(1)
+        rows = self.at.find(h)
         new = np.flatnonzero(rows < 0)
         if len(new):
-            # idx numbers the values in order of first occurrence, so its running maximum grows there
-            at = np.flatnonzero(np.diff(np.maximum.accumulate(idx), prepend=-1) > 0)[new]
-            self._add([keys[i] for i in new], [text[a:b] for a, b in zip(start[at].tolist(), end[at].tolist())])
-            rows = np.fromiter((self.at[x] for x in keys), np.int64, len(keys))
-        row = np.insert(rows[idx], np.searchsorted(start, coff[1:], "left"), 0)
+            idx, keys = distinct(h[new])
+            if self.rows + len(keys) > CACHE:
+                self._reset()
+                return self.chunk(data, off) if len(keys) < CACHE // 2 else self._whole(text, coff)
+            # idx numbers the keys in order of first occurrence, so its running maximum grows there
+            at = new[np.diff(np.maximum.accumulate(idx), prepend=-1) > 0]
+            self._add(keys, [text[a:b] for a, b in zip(start[at].tolist(), end[at].tolist())])
+            rows[new] = self.at.find(h[new])
+        row = np.insert(rows, np.searchsorted(start, coff[1:], "left"), 0)
         lens = self.len[row]
         cum = np.zeros(len(row) + 1, np.int64)
         np.cumsum(lens, out=cum[1:])
