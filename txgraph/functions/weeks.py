@@ -39,9 +39,14 @@ def week_date(key) -> Column:
 
 
 def in_weeks(year, week, ranges) -> Column:
-    """Boolean predicate for ``(year == y and lo <= week <= hi)`` ranges, OR-ed."""
+    """Boolean predicate for ``(year == y and after < week < before)`` ranges, OR-ed; None is an open end."""
     year, week = _c(year), _c(week)
     out = F.lit(False)
-    for y, lo, hi in ranges:
-        out = out | ((year == y) & week.between(lo, hi))
+    for y, after, before in ranges:
+        part = year == y
+        if after is not None:
+            part = part & (week > after)
+        if before is not None:
+            part = part & (week < before)
+        out = out | part
     return out

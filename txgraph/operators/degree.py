@@ -51,7 +51,8 @@ def degree_stats(e: DataFrame) -> DataFrame:
 def degree_centrality(e: DataFrame) -> DataFrame:
     """G6 ``(time_week, node, degree_centrality)`` = degree / (n - 1); 1 when n <= 1."""
     deg = node_degree(e)
-    n = deg.groupBy(W).agg(F.count(F.lit(1)).alias("n"))   # one row per week
+    # one row a week; reads the same column of the same degrees, so Spark reuses their exchange
+    n = deg.groupBy(W).agg(F.count("degree").alias("n"))
     return (deg.join(n, W)
             .select(W, "node", F.when(F.col("n") <= 1, F.lit(1.0))
                     .otherwise(safe_div("degree", F.col("n") - 1)).alias("degree_centrality")))

@@ -2,8 +2,8 @@
 
 Pearson correlation, over the edges of a week, of the out-degree of the source
 and the in-degree of the target (self-loops included, as in the degree
-counts).  Computed from moment sums so a zero variance yields NULL instead of
-an ANSI divide-by-zero error (``corr`` raises there).
+counts).  Covariance and deviations are Spark's centred aggregates, which do not cancel for
+hubs; a zero deviation yields NULL instead of an ANSI divide-by-zero error (``corr`` raises there).
 """
 
 from __future__ import annotations
@@ -21,13 +21,6 @@ def degree_assortativity(e: DataFrame) -> DataFrame:
     x = io.select(W, F.col("node").alias("src"), F.col("out_degree").cast("double").alias("x"))
     y = io.select(W, F.col("node").alias("dst"), F.col("in_degree").cast("double").alias("y"))
     xy = e.select(W, "src", "dst").join(x, [W, "src"]).join(y, [W, "dst"])
-    s = xy.groupBy(W).agg(
-        F.count(F.lit(1)).cast("double").alias("n"),
-        F.sum("x").alias("sx"), F.sum("y").alias("sy"),
-        F.sum(F.col("x") * F.col("x")).alias("sxx"), F.sum(F.col("y") * F.col("y")).alias("syy"),
-        F.sum(F.col("x") * F.col("y")).alias("sxy"))
-    vx = F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")
-    vy = F.col("n") * F.col("syy") - F.col("sy") * F.col("sy")
-    cov = F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")
-    r = F.when((vx > 0) & (vy > 0), cov / F.sqrt(vx * vy))
+    s = xy.groupBy(W).agg(F.covar_pop("x", "y").alias("cov"), F.stddev_pop("x").alias("dx"), F.stddev_pop("y").alias("dy"))
+    r = F.when((F.col("dx") > 0) & (F.col("dy") > 0), F.col("cov") / F.col("dx") / F.col("dy"))
     return s.select(W, r.alias("degree_assortativity"))

@@ -6,17 +6,13 @@ week stops at its first step with sum |x - x_prev| < n * tol.  After
 ``max_iter`` steps without that, the week did not converge (the reference
 raises): its last vector is kept with ``converged = false``.
 
-All weeks advance together as one distributed table keyed by (week, node):
-each step is one join with the salted adjacency (which carries an identity
-edge per vertex, so the state is referenced once), a per-week norm and a
-per-week L1 change, materialised once; a week leaves the working set at its
-own first converged step, so results equal running the weeks one by one.
-
-Slow weeks leave a long tail of tiny steps in which Spark's per-job cost
-dominates.  When the edges of all still-active weeks total at most
-``tail_edges`` (a size checked by one count), the remaining steps run inside
-one task per week (``cogroup().applyInPandas``, numpy), from the same state and
-with the same budget; weeks above the bound always stay on the distributed path.
+All weeks advance together as one distributed table keyed by (week, node).
+Scaling commutes with a step, so a block of steps runs without norms: each step is one join
+with the salted adjacency (which carries an identity edge per vertex) and one sum per
+node, and every row collects its values of the block.  Norms and L1 changes of all steps
+of the block then come from two per-week sums, and each week stops at its own first
+converged step, so results equal running the weeks one by one, step by step.  A block writes its
+values and one row a week.  The adjacency is pinned anew, in fewer partitions, when the weeks left hold half of its edges.
 """
 
 from __future__ import annotations
@@ -28,125 +24,106 @@ from pyspark.sql import functions as F
 
 from txgraph.operators.adjacency import SALT_CHUNK, fan_out, node_salts, salted_adjacency
 from txgraph.operators.edges import W
-from txgraph.session import cut, loop_side
+from txgraph.operators.stats import summarize
+from txgraph.session import cut, discard, pin, static_plans
 
 MAX_ITER = 1000   # fixed value of the reference call
 TOL = 1e-6        # fixed value: default tolerance of the reference library
+BLOCK = 20        # tunable: steps between two looks at convergence
+EDGES_PER_PARTITION = 100_000  # tunable: the working set shrinks as weeks converge, and its partitions with it
 
 
 def _step(cur: DataFrame, adj: DataFrame) -> DataFrame:
-    """One unnormalised step u' = (I + A^T) u on ``(time_week, node, ns, u)``."""
-    # ``adj`` holds an identity edge per vertex, so ``cur`` is referenced once
-    # per step and an unrolled block stays a linear plan
+    """One unnormalised step u' = (I + A^T) u; ``h`` collects a node's values."""
+    own = F.col("frm") == F.col("to")
     return (fan_out(cur).withColumnRenamed("node", "frm")
             .join(adj, [W, "frm", "salt"])
             .groupBy(W, F.col("to").alias("node"))
-            .agg(F.sum("u").alias("u"), F.first("to_ns").alias("ns")))
-
-
-TAIL_EDGES = 2_000_000  # tunable: active edges below which the tail runs per week in-task
-
-
-def _dstep(state: DataFrame, adj: DataFrame, weeks_n: DataFrame, tol: float) -> DataFrame:
-    """One distributed step on ``(time_week, node, ns, x, it)``; adds ``l1`` and ``converged``."""
-    y = _step(state.select(W, "node", "ns", F.col("x").alias("u")), adj)
-    nrm = y.groupBy(W).agg(F.sqrt(F.sum(F.col("u") * F.col("u"))).alias("nrm"))
-    xn = (y.join(nrm, W)
-          .select(W, "node", "ns",
-                  (F.col("u") / F.when(F.col("nrm") > 0, F.col("nrm")).otherwise(1.0)).alias("x")))
-    prev = state.select(W, "node", F.col("x").alias("xp"), "it")
-    chg = (xn.join(prev, [W, "node"])
-           .groupBy(W).agg(F.sum(F.abs(F.col("x") - F.col("xp"))).alias("l1"), F.max("it").alias("it")))
-    judged = chg.join(weeks_n, W).select(W, (F.col("it") + 1).alias("it"),
-                                         (F.col("l1") < F.col("n") * tol).alias("converged"))
-    return cut(xn.join(judged, W))
-
-
-def _tail_kernel(max_iter: int, tol: float):
-    import numpy as np
-    import pandas as pd
-
-    def run(key, st: "pd.DataFrame", ad: "pd.DataFrame") -> "pd.DataFrame":
-        if st.empty:
-            return pd.DataFrame(columns=["time_week", "node", "x", "it", "converged"])
-        nodes = st["node"].to_numpy()
-        index = pd.Index(nodes)
-        x = st["x"].to_numpy(dtype="float64")
-        it = int(st["it"].max())
-        n = len(nodes)
-        fi = index.get_indexer(ad["frm"].to_numpy())
-        ti = index.get_indexer(ad["to"].to_numpy())
-        conv = False
-        while it < max_iter:
-            y = np.bincount(ti, weights=x[fi], minlength=n)
-            nrm = float(np.sqrt((y * y).sum())) or 1.0
-            y = y / nrm
-            it += 1
-            if float(np.abs(y - x).sum()) < n * tol:
-                x, conv = y, True
-                break
-            x = y
-        return pd.DataFrame({"time_week": key[0], "node": nodes, "x": x, "it": it, "converged": conv})
-    return run
-
-
-def _finish_in_task(state: DataFrame, adj: DataFrame, max_iter: int, tol: float) -> DataFrame:
-    node_t = state.schema["node"].dataType.simpleString()
-    schema = f"time_week string, node {node_t}, x double, it int, converged boolean"
-    st = state.select(W, "node", "x", "it").toDF(W, "node", "x", "it")
-    act = st.select(F.col(W).alias("_w")).distinct()
-    ad = (adj.select(W, "frm", "to").toDF("_aw", "frm", "to")
-          .join(act, F.col("_aw") == F.col("_w"), "left_semi").toDF(W, "frm", "to"))
-    return (st.groupBy(W).cogroup(ad.groupBy(W))
-            .applyInPandas(_tail_kernel(max_iter, tol), schema))
+            .agg(F.sum("u").alias("u"), F.max("to_ns").alias("ns"), F.max(F.when(own, F.col("h"))).alias("h"))
+            .select(W, "node", "ns", "u", F.concat("h", F.array("u")).alias("h")))
 
 
-def eigenvector_iterate(e: DataFrame, max_iter: int = MAX_ITER, tol: float = TOL,
-                        tail_edges: int = TAIL_EDGES, chunk: int = SALT_CHUNK) -> tuple[DataFrame, DataFrame]:
-    """Return ``(nodes(time_week, node, eigenvector_centrality), weeks(time_week, iterations, converged))``.
+def _judge(block: DataFrame, steps: int, weeks: DataFrame, tol: float) -> DataFrame:
+    """``(time_week, norms, stop)``: the norm of each step, and the first converged step (NULL: none)."""
+    at = lambda j: F.col("h")[j]
+    norms = block.groupBy(W).agg(F.array(*[F.sqrt(F.sum(at(j) * at(j))) for j in range(steps + 1)]).alias("norms"))
+    x = lambda j: at(j) / F.col("norms")[j]
+    change = (block.join(norms, W).groupBy(W)
+              .agg(F.array(*[F.sum(F.abs(x(j) - x(j - 1))) for j in range(1, steps + 1)]).alias("l1")))
+    stop = F.array_min(F.filter(F.transform("l1", lambda v, j: F.when(v < F.col("n") * tol, j + 1)), lambda j: j.isNotNull()))
+    return norms.join(change, W).join(weeks, W).select(W, "norms", stop.alias("stop"))
+
 
-    ``tail_edges < 0`` keeps every step on the distributed path.
-    """
+def eigenvector_iterate(e: DataFrame, max_iter: int = MAX_ITER, tol: float = TOL,
+                        block: int = BLOCK, chunk: int = SALT_CHUNK) -> tuple[DataFrame, DataFrame]:
+    """Return ``(nodes(time_week, node, eigenvector_centrality, converged), weeks(time_week, iterations, converged))``."""
     e = cut(e.select(W, "src", "dst"))
     ns, mx = node_salts(e, loops=True, chunk=chunk, identity=True)
     ns = cut(ns)
-    adj = loop_side(salted_adjacency(e, ns, mx, loops=True, identity=True), W, "frm", "salt")
-    weeks_n = cut(ns.groupBy(W).agg(F.count(F.lit(1)).alias("n")))
-    week_edges = adj.groupBy(W).agg(F.count(F.lit(1)).alias("m"))
-    state = ns.join(weeks_n, W).select(W, "node", "ns", (1.0 / F.col("n")).alias("x"),
-                                       F.lit(0).alias("it"))
-    finished = []
+    spark = e.sparkSession
+    every = cut(salted_adjacency(e, ns, mx, loops=True, identity=True))
+    sizes = cut(every.groupBy(W).agg(F.count(F.lit(1)).alias("m")))
+    weeks = cut(ns.groupBy(W).agg(F.count(F.lit(1)).alias("n")))
+    edges = sizes.agg(F.sum("m")).first()[0] or 0
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = lambda m: max(1, min(most, -(-m // EDGES_PER_PARTITION)))
+    adj = pin(every, W, "frm", "salt", partitions=parts(edges))
+    state = ns.join(weeks, W).select(W, "node", "ns", (1.0 / F.col("n")).alias("u"))
+    finished, done, written = [], 0, None
     while True:
-        res = _dstep(state, adj, weeks_n, tol)
-        stop = F.col("converged") | (F.col("it") >= max_iter)
-        cnt = res.agg(F.count_if(stop).alias("stopped"), F.count_if(~stop).alias("active")).first()
-        if cnt["stopped"]:
-            finished.append(res.where(stop).select(W, "node", "x", "it", "converged"))
+        steps = min(block, max_iter - done)
+        cur = state.select(W, "node", "ns", "u", F.array("u").alias("h"))
+        for _ in range(steps):
+            cur = _step(cur, adj)
+        with static_plans(spark, parts(edges)):
+            values = cut(cur.select(W, "node", "ns", "h"))
+        done += steps
+        # one row a week
+        judged = cut(_judge(values, steps, weeks, tol).select(
+            W, "norms", F.coalesce("stop", F.lit(steps)).alias("last"), F.col("stop").isNotNull().alias("converged")))
+        if written is not None:
+            discard(*written)
+        ended = F.col("converged") | F.lit(done >= max_iter)
+        cnt = judged.agg(F.count_if(ended).alias("ended"), F.count_if(~ended).alias("active")).first()
+        res = values.join(judged, W).select(
+            W, "node", "ns", (F.get("h", "last") / F.get("norms", "last")).alias("x"),
+            (F.lit(done - steps) + F.col("last")).alias("it"), "converged")
+        written = None
+        if cnt["ended"]:
+            finished.append(res.where(ended).select(W, "node", "x", "it", "converged"))
             if len(finished) >= 32:  # keep the final union (and the driver's plan) small
                 finished = [cut(reduce(DataFrame.unionByName, finished))]
-        state = res.where(~stop).select(W, "node", "ns", "x", "it")
+        else:
+            written = (values, judged)  # only the next block reads them
         if not cnt["active"]:
             break
-        active = state.select(W).distinct()
-        if tail_edges >= 0:
-            m = week_edges.join(active, W, "left_semi").agg(F.sum("m")).first()[0] or 0
-            if m <= tail_edges:
-                finished.append(cut(_finish_in_task(state, adj, max_iter, tol)))
-                break
+        state = res.where(~ended).select(W, "node", "ns", F.col("x").alias("u"))
+        if cnt["ended"]:
+            active = state.select(W).distinct()
+            left = sizes.join(active, W, "left_semi").agg(F.sum("m")).first()[0]
+            if 2 * left <= edges:  # the converged weeks' edges go
+                adj.unpersist()
+                edges, adj = left, pin(every.join(active, W, "left_semi"), W, "frm", "salt", partitions=parts(left))
     adj.unpersist()  # the results read cut tables only
-    out = finished[0]
-    for f in finished[1:]:
-        out = out.unionByName(f)
-    nodes = out.select(W, "node", F.col("x").alias("eigenvector_centrality"))
-    weeks = out.groupBy(W).agg(F.max("it").cast("bigint").alias("iterations"),
-                               F.max("converged").alias("converged"))
-    return nodes, weeks
-
-
-def eigenvector_centrality(e: DataFrame, converged_only: bool = True, **kw) -> DataFrame:
-    """``(time_week, node, eigenvector_centrality)``; weeks that did not converge are
-    left out by default, as the reference produces no row for them."""
-    nodes, weeks = eigenvector_iterate(e, **kw)
-    if converged_only:
-        nodes = nodes.join(weeks.where("converged").select(W), W, "left_semi")
-    return nodes
+    if not finished:  # no edges at all
+        finished = [res.select(W, "node", "x", "it", "converged")]
+    out = reduce(DataFrame.unionByName, finished)
+    nodes = out.select(W, "node", F.col("x").alias("eigenvector_centrality"), "converged")
+    per_week = out.groupBy(W).agg(F.max("it").cast("bigint").alias("iterations"),
+                                  F.max("converged").alias("converged"))
+    return nodes, per_week
+
+
+def eigenvector_centrality(e: DataFrame, **kw) -> DataFrame:
+    """``(time_week, node, eigenvector_centrality, converged)``; the last vector of a week that did not converge."""
+    return eigenvector_iterate(e, **kw)[0]
+
+
+def summarize_converged(nodes: DataFrame, weeks: DataFrame) -> DataFrame:
+    """Weekly mean, deviation and Gini with ``converged``; NULL statistics where it is false."""
+    s = summarize(nodes.where("converged").drop("converged"), "eigenvector_centrality", "eigenvector")
+    return weeks.select(W, "converged").join(s, W, "left")
+
+
+def eigenvector_summary(e: DataFrame, **kw) -> DataFrame:
+    return summarize_converged(*eigenvector_iterate(e, **kw))

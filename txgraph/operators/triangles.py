@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txgraph.operators.edges import W, vertices
+from txgraph.session import cut
 
 
 def weighted_pairs(e: DataFrame) -> DataFrame:
@@ -50,6 +51,7 @@ def triangles(e: DataFrame) -> DataFrame:
                   F.when(lo_first, F.col("v")).otherwise(F.col("u")).alias("b"),
                   F.when(lo_first, F.col("kv")).otherwise(F.col("ku")).alias("kb"),
                   "s")
+    o = cut(o)  # three join inputs read it
     o1 = o.select(W, "a", "b", "kb", F.col("s").alias("s_ab"))
     o2 = o.select(W, "a", F.col("b").alias("c"), F.col("kb").alias("kc"), F.col("s").alias("s_ac"))
     wedges = (o1.join(o2, [W, "a"])
@@ -68,6 +70,7 @@ def _corner_sums(e: DataFrame) -> DataFrame:
 
 def clustering(e: DataFrame) -> DataFrame:
     """``(time_week, node, clustering_directed, clustering_undirected)`` for every vertex."""
+    e = e if hasattr(e, "_cut_path") else cut(e)
     p = weighted_pairs(e)
     pd_ = pair_degrees(p)
     t = _corner_sums(e)

@@ -3,7 +3,8 @@
 ``QUERIES[name](spark, sf_dir) -> DataFrame`` and ``ORACLE[name] -> SQL``.
 Every query reads ``orders`` and ``lineitem`` in full (fixtures F1/F2 of
 ``txgraph.sources.fixtures``), so its work grows with the tables.
-Doubles are rounded to 6 places for the comparison; counts are BIGINT.
+Doubles are rounded to 9 significant digits for the comparison (``round(x, 6)``
+in the oracles' text stands for that rounding); counts are BIGINT.
 """
 
 from __future__ import annotations
@@ -25,20 +26,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def stable_round(c):
-    """Round to 6 places so that two engines agree: snap to a 1e-10 grid first
-    (removes last-bit noise of different summation orders), then round half away
-    from zero at 6 places; both steps are ``round(x * 10^k) / 10^k``, which
-    Spark and DuckDB evaluate identically.  -0.0 becomes 0.0."""
-    r = F.round(F.round(c * 1e10) / 1e10 * 1e6) / 1e6
-    return F.when(r == 0, F.lit(0.0)).otherwise(r)  # no negative zero
+def significant(c):
+    """Round to 9 significant digits so that two engines agree: snap to 12 digits
+    first (removes last-bit noise of different summation orders), then round half away
+    from zero at the ninth; the scale is an exact power of ten, so Spark and DuckDB
+    evaluate all steps identically.  Values below 1e-14 are noise around zero."""
+    p = F.pow(F.lit(10.0), 8 - F.least(F.lit(8), F.floor(F.log10(F.abs(c) * 1.000000001))))
+    r = F.round(F.round(c * p * 1000.0) / 1000.0) / p
+    return F.when(F.abs(c) < 1e-14, F.lit(0.0)).when(c.isNotNull(), r)
 
 
 def rounded(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(stable_round(F.col(f.name)).alias(f.name))
+            cols.append(significant(F.col(f.name)).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
@@ -49,19 +51,24 @@ def query(name: str, sql: str | None):
         QUERIES[name] = lambda spark, sf_dir: rounded(fn(spark, sf_dir))
         QUERIES[name].__doc__ = fn.__doc__
         if sql is not None:
-            ORACLE[name] = O.stable_round_sql(sql)
+            ORACLE[name] = O.significant_columns(sql)
         return fn
     return deco
 
 
 def f1(spark, d):
-    """Edge table of fixture F1, materialised once per query: every metric
-    branch reads it instead of re-joining orders and lineitem."""
-    return cut(edge_ops.edges(transactions_f1(spark, d)))
+    """Edges of fixture F1, as a plan: operators that read them more than once or in
+    a loop write them once themselves."""
+    return edge_ops.edges(transactions_f1(spark, d))
+
+
+def f1_once(spark, d):
+    """Edge table of fixture F1, written once for queries with several metric branches."""
+    return cut(f1(spark, d))
 
 
 def f2(spark, d):
-    return cut(edge_ops.edges(transactions_f2(spark, d)))
+    return edge_ops.edges(transactions_f2(spark, d))
 
 
 # ---------------------------------------------------------------- step 1: graph + degrees
@@ -176,7 +183,7 @@ def q_degree_histogram30(spark, d):
 
 # ---------------------------------------------------------------- step 4-5: mixing, triangles
 
-@query("degree_assortativity", O.with_base("f2", """
+@query("degree_assortativity", O.with_base("f1", """
 io AS (SELECT time_week, node, sum(o) AS od, sum(i) AS id FROM
   (SELECT time_week, src AS node, 1 AS o, 0 AS i FROM e UNION ALL SELECT time_week, dst, 0, 1 FROM e) GROUP BY ALL),
 xy AS (SELECT e.time_week, CAST(a.od AS DOUBLE) AS x, CAST(b.id AS DOUBLE) AS y FROM e
@@ -186,9 +193,9 @@ SELECT time_week, round(CASE WHEN var_pop(x) > 0 AND var_pop(y) > 0
                              THEN covar_pop(x, y) / (stddev_pop(x) * stddev_pop(y)) END, 6) AS degree_assortativity
 FROM xy GROUP BY time_week"""))
 def q_degree_assortativity(spark, d):
-    """G12 on the dense fixture F2."""
+    """G12 ."""
     from txgraph.operators.mixing import degree_assortativity
-    return degree_assortativity(f2(spark, d))
+    return degree_assortativity(f1(spark, d))
 
 
 @query("edges_undirected", O.with_base("f1", "",
@@ -214,38 +221,38 @@ C AS (SELECT v.time_week, v.node,
       FROM v LEFT JOIN DD USING (time_week, node) LEFT JOIN TT USING (time_week, node))"""
 
 
-@query("clustering_nodes", O.with_base("f2", _CLUST,
+@query("clustering_nodes", O.with_base("f1", _CLUST,
        "SELECT time_week, node, round(cd, 6) AS clustering_directed, round(cu, 6) AS clustering_undirected FROM C"))
 def q_clustering_nodes(spark, d):
-    """G10/G11 per node on F2."""
+    """G10/G11 per node."""
     from txgraph.operators.triangles import clustering
-    return clustering(f2(spark, d))
+    return clustering(f1(spark, d))
 
 
-@query("clustering_directed", O.with_base("f2", _CLUST,
+@query("clustering_directed", O.with_base("f1", _CLUST,
        "SELECT time_week, round(avg(cd), 6) AS avg_clustering FROM C GROUP BY time_week"))
 def q_clustering_directed(spark, d):
     """G10 average directed clustering (zeros included)."""
     from txgraph.operators.triangles import average_clustering
-    return average_clustering(f2(spark, d)).select("time_week", "avg_clustering")
+    return average_clustering(f1(spark, d)).select("time_week", "avg_clustering")
 
 
-@query("clustering_undirected", O.with_base("f2", _CLUST,
+@query("clustering_undirected", O.with_base("f1", _CLUST,
        "SELECT time_week, round(avg(cu), 6) AS avg_clustering_undirected FROM C GROUP BY time_week"))
 def q_clustering_undirected(spark, d):
     """G11 average clustering of the undirected graph."""
     from txgraph.operators.triangles import average_clustering
-    return average_clustering(f2(spark, d)).select("time_week", "avg_clustering_undirected")
+    return average_clustering(f1(spark, d)).select("time_week", "avg_clustering_undirected")
 
 
-@query("triangle_count", O.with_base("f2", _CLUST,
+@query("triangle_count", O.with_base("f1", _CLUST,
        "SELECT time_week, CAST(sum(walks) / 6 AS BIGINT) AS triangles FROM TT GROUP BY time_week HAVING sum(walks) > 0"))
 def q_triangle_count(spark, d):
     from txgraph.operators.triangles import triangle_count
-    return triangle_count(f2(spark, d))
+    return triangle_count(f1(spark, d))
 
 
-@query("attributes", O.with_base("f2", _CLUST + """,
+@query("attributes", O.with_base("f1", _CLUST + """,
 io AS (SELECT time_week, node, sum(o) AS od, sum(i) AS id FROM
   (SELECT time_week, src AS node, 1 AS o, 0 AS i FROM e UNION ALL SELECT time_week, dst, 0, 1 FROM e) GROUP BY ALL),
 xy AS (SELECT e.time_week, CAST(a.od AS DOUBLE) AS x, CAST(b.id AS DOUBLE) AS y FROM e
@@ -260,7 +267,7 @@ def q_attributes(spark, d):
     """Weekly attributes row: average directed clustering + degree assortativity."""
     from txgraph.operators.mixing import degree_assortativity
     from txgraph.operators.triangles import average_clustering
-    e = f2(spark, d)
+    e = f1_once(spark, d)
     return (average_clustering(e).select("time_week", "avg_clustering")
             .join(degree_assortativity(e), "time_week"))
 
@@ -297,37 +304,37 @@ FROM (SELECT time_week, avg({value}) AS m, stddev_pop({value}) AS sd FROM {rel}
 LEFT JOIN {O.gini_sql(rel, value)} g USING (time_week)"""
 
 
-@query("closeness", O.with_base("f2", _CLOSE,
+@query("closeness", O.with_base("f1", _CLOSE,
        "SELECT time_week, node, round(closeness, 6) AS closeness FROM cl", recursive=True))
 def q_closeness(spark, d):
-    """G7 closeness (in-distance, Wasserman-Faust scaling) on F2, exact BFS from every vertex."""
+    """G7 closeness (in-distance, Wasserman-Faust scaling), exact BFS from every vertex."""
     from txgraph.operators.paths import closeness
-    return closeness(f2(spark, d))
+    return closeness(f1(spark, d))
 
 
-@query("summary_closeness", O.with_base("f2", _CLOSE, _summary_sql("cl", "closeness", "closeness"),
+@query("summary_closeness", O.with_base("f1", _CLOSE, _summary_sql("cl", "closeness", "closeness"),
                                         recursive=True))
 def q_summary_closeness(spark, d):
     from txgraph.operators.paths import closeness
-    return stats.summarize(closeness(f2(spark, d)), "closeness", "closeness")
+    return stats.summarize(closeness(f1(spark, d)), "closeness", "closeness")
 
 
-@query("betweenness", O.with_base("f2", _BETW,
+@query("betweenness", O.with_base("f1", _BETW,
        "SELECT time_week, node, round(betweenness, 6) AS betweenness FROM bw", recursive=True))
 def q_betweenness(spark, d):
-    """G8 exact Brandes betweenness on F2."""
+    """G8 exact Brandes betweenness."""
     from txgraph.operators.paths import betweenness
-    return betweenness(f2(spark, d))
+    return betweenness(f1(spark, d))
 
 
-@query("summary_betweenness", O.with_base("f2", _BETW, _summary_sql("bw", "betweenness", "betweenness"),
+@query("summary_betweenness", O.with_base("f1", _BETW, _summary_sql("bw", "betweenness", "betweenness"),
                                           recursive=True))
 def q_summary_betweenness(spark, d):
     from txgraph.operators.paths import betweenness
-    return stats.summarize(betweenness(f2(spark, d)), "betweenness", "betweenness")
+    return stats.summarize(betweenness(f1(spark, d)), "betweenness", "betweenness")
 
 
-@query("eccentricity_stats", O.with_base("f2", O.BFS + """,
+@query("eccentricity_stats", O.with_base("f1", O.BFS + """,
 ec AS (SELECT time_week, s AS node, max(d) AS ecc, count(*) AS reach FROM bfs GROUP BY ALL)""", """
 SELECT time_week, round(avg(ecc), 6) AS mean_ecc, round(stddev_pop(ecc), 6) AS std_ecc,
        CAST(max(ecc) AS BIGINT) AS diameter_finite,
@@ -337,7 +344,7 @@ FROM ec GROUP BY time_week""", recursive=True))
 def q_eccentricity_stats(spark, d):
     """G13 eccentricity mean/std, finite and strict diameter, reachable share of pairs."""
     from txgraph.operators.paths import eccentricity_stats
-    return eccentricity_stats(f2(spark, d))
+    return eccentricity_stats(f1(spark, d))
 
 
 # ---------------------------------------------------------------- step 8: eigenvector
@@ -361,9 +368,9 @@ pw(time_week, node, x, it, conv, fin) USING KEY (time_week, node) AS (
 
 
 @query("eigenvector", O.with_base("f2", _EIG,
-       "SELECT time_week, node, round(x, 6) AS eigenvector_centrality FROM pw WHERE conv", recursive=True))
+       "SELECT time_week, node, round(x, 6) AS eigenvector_centrality, conv AS converged FROM pw", recursive=True))
 def q_eigenvector(spark, d):
-    """G9 eigenvector centrality on F2; weeks that do not converge in 1000 steps have no rows."""
+    """G9 eigenvector centrality on F2; weeks that do not converge in 1000 steps have ``converged = false``."""
     from txgraph.operators.spectral import eigenvector_centrality
     return eigenvector_centrality(f2(spark, d))
 
@@ -377,11 +384,64 @@ def q_eigenvector_convergence(spark, d):
     return eigenvector_iterate(f2(spark, d))[1]
 
 
-@query("summary_eigenvector", O.with_base("f2", _EIG + ",\nev AS (SELECT time_week, node, x FROM pw WHERE conv)",
-                                          _summary_sql("ev", "x", "eigenvector"), recursive=True))
+_EIG_SUMMARY = O.with_base("f2", _EIG + ",\nev AS (SELECT time_week, node, x FROM pw WHERE conv)", f"""
+SELECT w.time_week, s.mean_eigenvector, s.std_eigenvector, s.gini_coefficient, w.converged
+FROM (SELECT time_week, bool_or(conv) AS converged FROM pw GROUP BY time_week) w
+LEFT JOIN ({_summary_sql("ev", "x", "eigenvector")}) s USING (time_week)""", recursive=True)
+
+
+@query("summary_eigenvector", _EIG_SUMMARY)
 def q_summary_eigenvector(spark, d):
-    from txgraph.operators.spectral import eigenvector_centrality
-    return stats.summarize(eigenvector_centrality(f2(spark, d)), "eigenvector_centrality", "eigenvector")
+    """G9 + G16; a week that did not converge has NULL statistics."""
+    from txgraph.operators.spectral import eigenvector_summary
+    return eigenvector_summary(f2(spark, d))
+
+
+# ---------------------------------------------------------------- sources and set operations
+
+@query("edges_labelled", O.with_base("f1", "",
+       "SELECT time_week, src, dst, n_tx, 'txs' AS relationship FROM e WHERE time_week LIKE '1996%'"))
+def q_edges_labelled(spark, d):
+    """S2 + P4: the weeks of one year by prefix, with the constant edge label."""
+    from txgraph.sources.transactions import select_weeks
+    tx = select_weeks(transactions_f1(spark, d), "1996")
+    return edge_ops.edges(tx, relationship="txs")
+
+
+@query("edges_null_endpoints", O.with_base("f1", "", """
+SELECT time_week, src, dst, count(*) AS n_tx FROM (SELECT time_week, nullif(src, 1) AS src, nullif(dst, 2) AS dst FROM tx) x
+WHERE src IS NOT NULL AND dst IS NOT NULL GROUP BY ALL"""))
+def q_edges_null_endpoints(spark, d):
+    """P3 on transactions some of whose endpoints are null (customer 1 and supplier 2 are blanked)."""
+    tx = transactions_f1(spark, d)
+    return edge_ops.edges(tx.select("time_week", F.nullif("src", F.lit(1)).alias("src"), F.nullif("dst", F.lit(2)).alias("dst")))
+
+
+@query("concat_years", O.with_base("f1", "", """
+SELECT time_week, n, CAST(-1 AS BIGINT) AS m FROM wc WHERE time_week LIKE '1995%'
+UNION ALL SELECT time_week, n, m FROM wc WHERE time_week LIKE '1996%'"""))
+def q_concat_years(spark, d):
+    """Weekly results with different columns, concatenated; a missing count is -1."""
+    from txgraph.plans.series import concat
+    c = edge_ops.week_counts(f1(spark, d))
+    return concat([c.where(F.col("time_week").startswith("1995")).drop("m"), c.where(F.col("time_week").startswith("1996"))]).fillna(-1, ["m"])
+
+
+# the sources of a sampled run: an md5 below the fraction, which both engines evaluate alike
+_BETW_SAMPLED = _BETW.split("bw AS")[0].replace(
+    "c.d = a.d + b.d", "c.d = a.d + b.d AND substr(md5(a.time_week || '|' || a.s), 1, 8) < '40000000'") + """
+k AS (SELECT time_week, count(*) AS k FROM v WHERE substr(md5(time_week || '|' || node), 1, 8) < '40000000' GROUP BY ALL),
+bw AS (SELECT v.time_week, v.node, coalesce(bt.bc * wc.n / k.k, 0.0) /
+         CASE WHEN wc.n > 2 THEN (wc.n - 1.0) * (wc.n - 2.0) ELSE 1.0 END AS betweenness
+       FROM v JOIN wc USING (time_week) LEFT JOIN k USING (time_week) LEFT JOIN bt USING (time_week, node))"""
+
+
+@query("betweenness_sampled", O.with_base("f1", _BETW_SAMPLED,
+       "SELECT time_week, node, round(betweenness, 6) AS betweenness FROM bw", recursive=True))
+def q_betweenness_sampled(spark, d):
+    """G8 from a quarter of the sources, chosen by a hash and scaled by n / k (Brandes-Pich)."""
+    from txgraph.operators.paths import betweenness
+    return betweenness(f1(spark, d), sample_fraction=0.25)
 
 
 # ---------------------------------------------------------------- step 9: core-periphery
@@ -418,6 +478,15 @@ def q_core_periphery(spark, d):
     return core_periphery(f1(spark, d))
 
 
+@query("coreness", O.with_base("f1", _CORE, """
+SELECT R.time_week, R.node, CASE WHEN R.r <= CP.core_count THEN 1 ELSE 0 END AS coreness
+FROM R JOIN CP ON CP.time_week = R.time_week"""))
+def q_coreness(spark, d):
+    """G14 per node: 1 in the core, 0 in the periphery."""
+    from txgraph.operators.core import coreness
+    return coreness(f1_once(spark, d))
+
+
 @query("core_ratio", O.with_base("f1", _CORE, """
 SELECT time_week, core_count, network_size, round(core_count / network_size, 6) AS core_ratio FROM CP"""))
 def q_core_ratio(spark, d):
@@ -428,32 +497,38 @@ def q_core_ratio(spark, d):
 
 # ---------------------------------------------------------------- step 10: series
 
-def _series_sql(inner: str) -> str:
-    """Date columns + reference exclusion around a weekly oracle query."""
+def _series_sql(inner: str, exclude: str) -> str:
+    """Date columns + exclusion around a weekly oracle query."""
     return f"""
 SELECT CAST(make_date(year, 1, 1) + 7 * week AS TIMESTAMP) AS date, * FROM (
   SELECT CAST(substr(time_week, 1, 4) AS INT) AS year, CAST(substr(time_week, 5) AS INT) AS week, s.*
   FROM ({inner}) s)
-WHERE NOT ((year = 2018 AND week BETWEEN 1 AND 25) OR (year = 2022 AND week BETWEEN 35 AND 53))"""
+WHERE NOT ({exclude})"""
+
+
+_REFERENCE = "(year = 2018 AND week < 26) OR (year = 2022 AND week > 34)"
 
 
-def _series(name: str, base_name: str, cols: list[str] | None = None):
+def _series(name: str, base_name: str, cols: list[str] | None = None, exclude=None, exclude_sql: str = _REFERENCE):
     inner = ORACLE[base_name]
     if cols:
         inner = f"SELECT time_week, {', '.join(cols)} FROM ({inner}) b"
 
-    @query(name, _series_sql(inner))
+    @query(name, _series_sql(inner, exclude_sql))
     def q(spark, d):
-        from txgraph.plans.series import series
+        from txgraph.plans.series import REFERENCE_EXCLUDE, series
         df = QUERIES[base_name](spark, d)
         if cols:
             df = df.select("time_week", *cols)
-        return series(df)
+        return series(df, REFERENCE_EXCLUDE if exclude is None else exclude)
     q.__doc__ = f"Dated series of {base_name}."
     return q
 
 
 _series("series_basic", "degree_stats", ["nr_nodes", "nr_edges", "density"])
+# an exclusion of weeks that the tables have: the reference's ranges lie after them
+_series("series_basic_excluded", "degree_stats", ["nr_nodes", "nr_edges", "density"],
+        ((1996, None, 26), (1998, 34, None)), "(year = 1996 AND week < 26) OR (year = 1998 AND week > 34)")
 _series("series_degree_centrality", "summary_degree_centrality")
 _series("series_closeness", "summary_closeness")
 _series("series_betweenness", "summary_betweenness")
@@ -466,10 +541,10 @@ _series("series_core_ratio", "core_ratio", ["core_ratio"])
 
 # ---------------------------------------------------------------- step 12: approximate closeness
 
-@query("closeness_approx", O.with_base("f2", _CLOSE,
+@query("closeness_approx", O.with_base("f1", _CLOSE,
        "SELECT time_week, node, round(closeness, 6) AS closeness_approx FROM cl", recursive=True))
 def q_closeness_approx(spark, d):
     """G7 by HyperBall (HLL balls, O(sketch) state per node).  Sketches are exact
     for the small balls of these weeks, so the exact oracle applies."""
     from txgraph.operators.paths import closeness_approx
-    return closeness_approx(f2(spark, d))
+    return closeness_approx(f1(spark, d))

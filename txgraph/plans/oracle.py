@@ -3,7 +3,7 @@
 The oracles are written independently of the Spark plans where possible
 (brute-force pair sums for Gini, recursive CTEs for BFS and power iteration)
 so that a wrong Spark plan is not mirrored by a wrong oracle.
-Doubles are rounded to 6 places on both sides; counts are BIGINT.
+Doubles are rounded to 9 significant digits on both sides; counts are BIGINT.
 """
 
 from __future__ import annotations
@@ -17,9 +17,14 @@ def tx_sql(fixture: str) -> str:
     if fixture == "f1":
         s, d = "o_custkey", "l_suppkey"
     else:
-        s, d = "o_custkey % 50", "l_partkey % 50"
-    return (f"SELECT {_WEEK} AS time_week, CAST({s} AS BIGINT) AS src, CAST({d} AS BIGINT) AS dst "
+        k = "(SELECT greatest(5, count(*) // 100) FROM customer)"
+        s, d = f"o_custkey % {k}", f"l_partkey % {k}"
+    paid = (f"SELECT {_WEEK} AS time_week, CAST({s} AS BIGINT) AS src, CAST({d} AS BIGINT) AS dst "
             f"FROM orders JOIN lineitem ON o_orderkey = l_orderkey")
+    if fixture == "f1":
+        return paid
+    return (f"SELECT time_week, src, dst FROM ({paid}) a UNION ALL "
+            f"SELECT time_week, dst, src FROM ({paid}) b WHERE (src + dst) % 5 > 0")
 
 
 def base(fixture: str) -> str:
@@ -69,9 +74,16 @@ def gini_sql(vals: str, value: str, out: str = "gini_coefficient") -> str:
       GROUP BY a.time_week)"""
 
 
-def stable_round_sql(sql: str) -> str:
-    """Rewrite every ``round(<expr>, 6)`` as ``round(round((<expr>) * 1e10) / 1e10 * 1e6) / 1e6``,
-    the same two-step rounding the Spark side applies (see ``catalog.stable_round``)."""
+def significant_sql(x: str) -> str:
+    """``x`` to 9 significant digits by the same steps as ``catalog.significant``."""
+    x = f"CAST({x} AS DOUBLE)"
+    p = f"pow(10.0, 8 - least(8, floor(log10(abs({x}) * 1.000000001))))"
+    r = f"round(round({x} * {p} * 1000.0) / 1000.0) / {p}"
+    return f"(CASE WHEN {x} IS NULL THEN NULL WHEN abs({x}) < 1e-14 THEN 0.0 ELSE {r} END)"
+
+
+def significant_columns(sql: str) -> str:
+    """Rewrite every ``round(<expr>, 6)`` of an oracle's text as ``significant_sql(<expr>)``."""
     out, i, low = [], 0, sql.lower()
     while True:
         j = low.find("round(", i)
@@ -94,13 +106,10 @@ def stable_round_sql(sql: str) -> str:
             elif ch == "," and depth == 1:
                 comma = k
             k += 1
-        args_end = k
-        if comma is not None and sql[comma + 1:args_end].strip() == "6":
-            inner = stable_round_sql(sql[j + 6:comma])
+        if comma is not None and sql[comma + 1:k].strip() == "6":
             out.append(sql[i:j])
-            r = f"(round(round(({inner}) * 1e10) / 1e10 * 1e6) / 1e6)"
-            out.append(f"(CASE WHEN {r} = 0 THEN 0.0 ELSE {r} END)")
-            i = args_end + 1
+            out.append(significant_sql(significant_columns(sql[j + 6:comma])))
+            i = k + 1
         else:
             out.append(sql[i:j + 6])
             i = j + 6

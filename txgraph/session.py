@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,15 +58,42 @@ def cut(df: DataFrame) -> DataFrame:
     plain scan, so an iteration's plan never grows with the number of steps
     (``Dataset.checkpoint`` keeps the origin plan of every earlier step, which
     the optimizer re-walks).  Files live under ``spark.checkpoint.dir``, so a
-    lost executor costs a re-read, not a recomputation.
+    lost executor costs a re-read, not a recomputation.  ``discard`` deletes them.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
 
 
-def pin(df: DataFrame, *keys: str) -> DataFrame:
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of tables that ``cut`` wrote and that nothing reads any more."""
+    for t in tables:
+        path = getattr(t, "_cut_path", None)
+        if path:
+            jvm = t.sparkSession._jvm
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def static_plans(spark: SparkSession, partitions: int):
+    """Plan without adaptive stages and with ``partitions`` shuffle partitions inside: for chains of many
+    shuffles of one size, where one job of many stages costs far less than one job a stage."""
+    inside = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(partitions)}
+    before = {k: spark.conf.get(k) for k in inside}
+    for k, v in inside.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def pin(df: DataFrame, *keys: str, partitions: int | None = None) -> DataFrame:
     """Hash-partition ``df`` on ``keys`` and keep it in memory (spilling to disk).
 
     For the loop-invariant side of an iteration (the adjacency): the cached
@@ -75,23 +103,7 @@ def pin(df: DataFrame, *keys: str) -> DataFrame:
     recomputed from that, not from the whole job.
     """
     from pyspark import StorageLevel
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out = df.repartition(n, *keys).persist(StorageLevel.MEMORY_AND_DISK)
     out.count()
     return out
-
-
-BROADCAST_ROWS = 250_000  # tunable: loop-invariant sides up to this many rows are broadcast
-
-
-def loop_side(df: DataFrame, *keys: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Prepare the loop-invariant side of an iterative join, by checked size.
-
-    The table is materialised once (``cut``) and counted; up to ``max_rows``
-    rows it is broadcast to every step (the large state side is never
-    shuffled for the join), beyond that it is ``pin``-ned hash-partitioned on
-    the join keys so only the state side moves.
-    """
-    from pyspark.sql import functions as F
-    t = cut(df)
-    return F.broadcast(t) if t.count() <= max_rows else pin(t, *keys)

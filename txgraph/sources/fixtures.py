@@ -2,8 +2,9 @@
 
 F1: a customer pays the suppliers of the lines of its order; customers and
     suppliers share one id space (sparse, nearly acyclic weekly graphs).
-F2: same rows with ids folded to 50 accounts (src = custkey % 50,
-    dst = partkey % 50): dense, cyclic weekly graphs.
+F2: same rows with ids folded to ``greatest(5, count(customer) div 100)`` accounts
+    (src = custkey % k, dst = partkey % k), each payment with a refund back unless
+    (src + dst) % 5 = 0: dense, cyclic weekly graphs whose number of accounts grows with the tables.
 
 The week of a transaction is the week of ``o_orderdate``.  Every line item
 is one transaction, so the work grows with ``lineitem``; only the columns
@@ -12,13 +13,11 @@ used are read (the scan's ReadSchema shows the pruning).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txgraph.functions.weeks import week_key_from_ts
 
-FOLD = 50  # fixed value of fixture F2: number of folded accounts
-
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -38,9 +37,19 @@ def transactions_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("l_suppkey").cast("bigint").alias("dst"))
 
 
+def accounts_f2(spark: SparkSession, sf_dir: str) -> Column:
+    """Number of accounts of fixture F2, as a scalar subquery."""
+    return (load_table(spark, sf_dir, "customer")
+            .select(F.greatest(F.lit(5), F.floor(F.count(F.lit(1)) / 100)).cast("bigint").alias("k")).scalar())
+
+
 def transactions_f2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw transactions of fixture F2 (ids folded to ``FOLD`` accounts)."""
+    """Raw transactions of fixture F2 (ids folded to ``accounts_f2``, payments and refunds)."""
+    k = accounts_f2(spark, sf_dir)
     j = _orders_lines(spark, sf_dir, "l_partkey")
-    return j.select(week_key_from_ts("o_orderdate").alias("time_week"),
-                    (F.col("o_custkey") % FOLD).cast("bigint").alias("src"),
-                    (F.col("l_partkey") % FOLD).cast("bigint").alias("dst"))
+    paid = j.select(week_key_from_ts("o_orderdate").alias("time_week"),
+                    F.pmod(F.col("o_custkey").cast("bigint"), k).alias("src"),
+                    F.pmod(F.col("l_partkey").cast("bigint"), k).alias("dst"))
+    pay, refund = F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst"))
+    both = F.when((F.col("src") + F.col("dst")) % 5 > 0, F.array(pay, refund)).otherwise(F.array(pay))
+    return paid.select("time_week", F.explode(both).alias("x")).select("time_week", "x.*")

@@ -3,7 +3,8 @@
 * S1 scan with an explicit schema (no inference pass); all weeks at once via
   partition discovery, the folder value kept as STRING ``time_week``.
 * S2 week selection by prefix is a partition filter -> partition pruning.
-* S3 incremental run: weeks of the source whose folder is not yet in the sink.
+* S3 incremental run: weeks of the source whose folder is not yet in the sink,
+  found from the folder listing of both, never by reading rows.
 * S4 sink: partitioned by week with dynamic partition overwrite, so a rerun
   replaces exactly the weeks it recomputes and nothing else.
 * S5 result re-read: one scan over the partitioned sink root.
@@ -11,6 +12,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +28,15 @@ TX_SCHEMA = T.StructType([
 ])
 
 
+def reader_options(reader, fmt: str, header: bool = True, trim: bool = True):
+    """Options of the weekly files, for batch and stream readers."""
+    if fmt == "csv":
+        reader = (reader.option("header", str(header).lower())
+                  .option("ignoreLeadingWhiteSpace", str(trim).lower())
+                  .option("ignoreTrailingWhiteSpace", str(trim).lower()))
+    return reader
+
+
 def read_transactions(spark: SparkSession, root: str, fmt: str = "csv",
                       schema: T.StructType | None = TX_SCHEMA, header: bool = True,
                       prefix: str | None = None, trim: bool = True) -> DataFrame:
@@ -35,11 +46,7 @@ def read_transactions(spark: SparkSession, root: str, fmt: str = "csv",
         r = r.schema(schema)
     elif fmt == "csv":
         r = r.option("inferSchema", "true")
-    if fmt == "csv":
-        r = (r.option("header", str(header).lower())
-             .option("ignoreLeadingWhiteSpace", str(trim).lower())
-             .option("ignoreTrailingWhiteSpace", str(trim).lower()))
-    df = r.load(root)
+    df = reader_options(r, fmt, header, trim).load(root)
     df = df.select(F.col(PART).cast("string").alias("time_week"),
                    F.col("SenderId").alias("src"), F.col("TargetId").alias("dst"),
                    "Year_no", "Week_no")
@@ -68,32 +75,46 @@ def read_week(spark: SparkSession, root: str, key: str, fmt: str = "parquet") ->
     return read_weekly(spark, root, fmt).where(F.col("time_week") == key)
 
 
-def _done_weeks(spark: SparkSession, sink_root: str, fmt: str) -> DataFrame | None:
+def stored_weeks(spark: SparkSession, root: str) -> DataFrame:
+    """``time_week`` of each week folder under ``root``, from the file listing: no file is opened.
+
+    A root that does not exist holds no week; any other error is raised.
+    """
     try:
-        done = spark.read.format(fmt).option("header", "true").load(sink_root)
-    except Exception:  # sink not written yet (AnalysisException: path does not exist)
-        return None
-    if PART not in done.columns:
-        return None
-    return done.select(F.col(PART).cast("string").alias("time_week")).distinct()
+        files = spark.read.format("binaryFile").load(root)  # without its content column: paths only
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "time_week string")
+    if PART not in files.columns:
+        return spark.createDataFrame([], "time_week string")
+    return files.select(F.col(PART).cast("string").alias("time_week")).distinct()
+
+
+def pending_weeks(spark: SparkSession, source_root: str, sink_root: str, prefix: str | None = None) -> list[str]:
+    """S3: weeks of the store without a folder in the sink (``left_anti`` on one row a folder).
 
+    The keys go into the partition filter of the store's scan, so finished weeks are not read.
+    """
+    todo = select_weeks(stored_weeks(spark, source_root), prefix).join(stored_weeks(spark, sink_root), "time_week", "left_anti")
+    return sorted(r.time_week for r in todo.collect())
 
-def pending_weeks(spark: SparkSession, source: DataFrame, sink_root: str,
-                  fmt: str = "parquet", week: str = "time_week") -> DataFrame:
-    """Rows of ``source`` whose week has no folder in the sink yet (``left_anti``)."""
-    done = _done_weeks(spark, sink_root, fmt)
-    if done is None:
-        return source
-    return source.join(done.withColumnRenamed("time_week", week), week, "left_anti")
+
+def of_weeks(df: DataFrame, weeks: list[str], week: str = "time_week") -> DataFrame:
+    """Rows of the given weeks: a partition filter on a weekly store."""
+    return df.where(F.col(week).isin(weeks))
 
 
 def write_weekly(df: DataFrame, sink_root: str, fmt: str = "parquet",
-                 week: str = "time_week") -> None:
-    """Write ``df`` partitioned by week; only the weeks present in ``df`` are replaced."""
+                 week: str = "time_week", files: int = 8) -> None:
+    """Write ``df`` partitioned by week; only the weeks present in ``df`` are replaced.
+
+    At most ``files`` files a week: rows are dealt by week and a hash of the whole row, so a week that is a
+    third of all rows is still written by several tasks.
+    """
     out = df.withColumnRenamed(week, PART)
-    # no shuffle by week: a week can be a third of all rows; each task writes the
-    # weeks it holds, sorted so it keeps one open file at a time
-    w = (out.sortWithinPartitions(PART).write.mode("overwrite")
+    salt = F.pmod(F.xxhash64(*out.columns), F.lit(files)) if files > 1 else F.lit(0)
+    w = (out.repartition(F.col(PART), salt).sortWithinPartitions(PART).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(PART))
     if fmt == "csv":
         w = w.option("header", "true")
