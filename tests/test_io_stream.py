@@ -11,13 +11,19 @@ from txgraph.operators.edges import edges
 from txgraph.plans.series import exclude_rows, series
 from txgraph.plans.weekly import run_incremental
 from txgraph.sources.fixtures import transactions_f1
-from txgraph.sources.transactions import (pending_weeks, read_transactions, read_weekly,
-                                          select_weeks, write_weekly)
+from txgraph.sources.transactions import (of_weeks, pending_weeks, read_transactions, read_week,
+                                          read_weekly, select_weeks, write_weekly)
 from txgraph.streaming import start_weekly_stream
 
 CHEAP = ("degree", "degree_centrality", "attributes")
 
 
+def filters(df):
+    """Partition filters of the scan in the executed plan."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return " ".join(x.split("PushedFilters")[0] for x in plan.split("PartitionFilters: ")[1:])
+
+
 def write_store(spark, root, weeks=None):
     tx = transactions_f1(spark, SF0001)
     if weeks is not None:
@@ -39,7 +45,7 @@ def test_csv_store_roundtrip(spark, tmpdir_fresh):
     # week keys stay strings, prefix selection prunes partitions
     assert dict(read_transactions(spark, root).dtypes)["time_week"] == "string"
     pruned = select_weeks(read_transactions(spark, root), "1995")
-    assert "PartitionFilters" in pruned._jdf.queryExecution().executedPlan().toString() or pruned.count() > 0
+    assert "StartsWith(date" in filters(pruned) and pruned.count() > 0
     assert pruned.where(~F.col("time_week").startswith("1995")).count() == 0
 
 
@@ -52,6 +58,48 @@ def test_incremental_runs_only_new_weeks(spark, tmpdir_fresh):
     assert run_incremental(spark, root, sink, metrics=CHEAP) == 1
     stats = read_weekly(spark, f"{sink}/stats")
     assert sorted(r.time_week for r in stats.select("time_week").collect()) == ["19951", "19952", "19953"]
+    for node_sink in ("degree", "degree_centrality"):
+        nodes = read_weekly(spark, f"{sink}/nodes/{node_sink}")
+        assert sorted(r.time_week for r in nodes.select("time_week").distinct().collect()) == ["19951", "19952", "19953"]
+        week = read_week(spark, f"{sink}/nodes/{node_sink}", "19952")
+        assert week.count() == nodes.where("time_week = '19952'").count() > 0
+    files = [f for d, _, names in os.walk(f"{sink}/nodes/degree") for f in names if f.endswith(".parquet")]
+    assert len(files) <= 3 * 8
+
+
+def test_only_pending_folders_are_read(spark, tmpdir_fresh):
+    root, sink = os.path.join(tmpdir_fresh, "raw"), os.path.join(tmpdir_fresh, "out")
+    write_store(spark, root, ["19951", "19952", "19953"])
+    write_weekly(spark.createDataFrame([("19951", 1)], "time_week string, v int"), sink)
+    assert pending_weeks(spark, root, sink) == ["19952", "19953"]
+    assert pending_weeks(spark, root, sink, prefix="19953") == ["19953"]
+    tx = of_weeks(read_transactions(spark, root), pending_weeks(spark, root, sink))
+    assert "19952" in filters(tx) and "19953" in filters(tx) and "19951" not in filters(tx)
+    assert sorted(r.time_week for r in tx.select("time_week").distinct().collect()) == ["19952", "19953"]
+
+
+def test_week_without_complete_edges_is_not_pending_for_ever(spark, tmpdir_fresh):
+    root, sink = os.path.join(tmpdir_fresh, "raw"), os.path.join(tmpdir_fresh, "out")
+    write_store(spark, root, ["19951"])
+    (spark.createDataFrame([("a", None, 1995, 7, "19957")], "SenderId string, TargetId string, Year_no int, Week_no int, date string")
+     .write.mode("append").partitionBy("date").option("header", "true").csv(root))
+    assert run_incremental(spark, root, sink, metrics=("degree",)) == 2
+    assert run_incremental(spark, root, sink, metrics=("degree",)) == 0
+    got = {r.time_week: r.nr_nodes for r in read_weekly(spark, f"{sink}/stats").collect()}
+    assert got["19957"] == 0 and got["19951"] > 0
+
+
+def test_csv_sink(spark, tmpdir_fresh):
+    sink = os.path.join(tmpdir_fresh, "csv")
+    write_weekly(spark.createDataFrame([("20221", 1.5), ("20222", 2.5)], "time_week string, v double"), sink, fmt="csv")
+    assert {r.time_week: r.v for r in read_weekly(spark, sink, fmt="csv").collect()} == {"20221": 1.5, "20222": 2.5}
+
+
+def test_edges_are_built_once(spark, tmpdir_fresh):
+    """The report reads one written edge table, never the transactions again."""
+    from txgraph.plans.weekly import weekly_report
+    rep = weekly_report(edges(transactions_f1(spark, SF0001)), CHEAP)
+    assert "lineitem" not in rep._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_overwrite_replaces_only_its_week(spark, tmpdir_fresh):
@@ -61,8 +109,6 @@ def test_overwrite_replaces_only_its_week(spark, tmpdir_fresh):
     write_weekly(spark.createDataFrame([("20222", 5.0)], "time_week string, v double"), sink)
     got = {r.time_week: r.v for r in read_weekly(spark, sink).collect()}
     assert got == {"20221": 1.0, "20222": 5.0}
-    src = spark.createDataFrame([("20221",), ("20223",)], "time_week string")
-    assert [r.time_week for r in pending_weeks(spark, src, sink).collect()] == ["20223"]
 
 
 def test_series_exclusion_and_order(spark):
@@ -70,6 +116,8 @@ def test_series_exclusion_and_order(spark):
                                "time_week string, v double")
     s = series(df).collect()
     assert [r.time_week for r in s] == ["201830"]  # weeks 2 and 10 of 2018 and 36 of 2022 are excluded
+    edge = spark.createDataFrame([("201825", 1.0), ("201826", 2.0), ("202234", 3.0), ("202260", 4.0), ("20180", 5.0)], df.schema)
+    assert [r.time_week for r in series(edge).collect()] == ["201826", "202234"]  # open ends
     s2 = series(df, exclude=()).collect()
     assert [r.week for r in s2] == [2, 10, 30, 36]  # numeric order, not string order
     assert str(s2[0].date)[:10] == "2018-01-15"

@@ -9,7 +9,7 @@ from conftest import SF0001
 
 import __spark_entry__ as ENTRY
 
-TABLES = ["orders", "lineitem", "customer", "supplier", "part", "nation", "region"]
+TABLES = ["orders", "lineitem", "customer", "supplier", "part", "nation", "region", "documents", "benchmark"]
 
 
 @pytest.fixture(scope="module")
@@ -41,5 +41,22 @@ def test_entry_smoke(spark):
     assert set(df.columns) >= {"time_week", "nr_nodes", "nr_edges", "density"}
 
 
-def test_every_query_has_oracle():
-    assert set(ENTRY.queries()) == set(ENTRY.oracle_sql())
+def test_every_graph_query_has_oracle():
+    from txgraph.plans.catalog import ORACLE, QUERIES
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(ENTRY.queries()) and set(ORACLE) <= set(ENTRY.oracle_sql())
+
+
+def test_registered_series_drops_weeks_of_the_data(spark):
+    from txgraph.plans.catalog import QUERIES
+    every, some = (QUERIES[q](spark, SF0001).count() for q in ("series_basic", "series_basic_excluded"))
+    assert 0 < some < every
+
+
+def test_significant_digits(spark):
+    from txgraph.plans.catalog import rounded
+    values = [1.18633e-5, 2.372657e-5, 123456789.123456789, -0.0, 1e-20, 0.1 + 0.2, 1 / 3, -2 / 3, 8192.0 ** -1, None]
+    got = [r.v for r in rounded(spark.createDataFrame([(v,) for v in values], "v double")).collect()]
+    want = [None if v is None else 0.0 if abs(v) < 1e-14 else float(f"{v:.8e}") for v in values]
+    want[2], want[8] = 123456789.0, 1.22070313e-4
+    assert got == want

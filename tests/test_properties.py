@@ -87,20 +87,62 @@ def test_closeness_at_most_one(f2):
     assert closeness(f2).where(F.col("closeness") > 1 + 1e-12).count() == 0
 
 
-def test_eigenvector_tail_equals_distributed(spark, f2):
-    small = f2.where(F.col("time_week").isin([r.time_week for r in
-                                              f2.select("time_week").distinct().limit(6).collect()]))
-    # a small step budget so that non-converged weeks are compared too
-    n1, w1 = eigenvector_iterate(small, max_iter=60)                   # in-task tail
-    n2, w2 = eigenvector_iterate(small, max_iter=60, tail_edges=-1)    # every step distributed
-    n3, w3 = eigenvector_iterate(small, max_iter=60, tail_edges=-1, chunk=3)  # salted
-    assert rows(w1, "time_week", "iterations", "converged") == rows(w2, "time_week", "iterations", "converged")
-    assert rows(w2, "time_week", "iterations", "converged") == rows(w3, "time_week", "iterations", "converged")
-    a = {(r[0], r[1]): r[2] for r in n1.collect()}
-    b = {(r[0], r[1]): r[2] for r in n2.collect()}
-    c = {(r[0], r[1]): r[2] for r in n3.collect()}
-    assert a.keys() == b.keys() == c.keys()
-    assert all(a[k] == pytest.approx(b[k], abs=1e-12) and b[k] == pytest.approx(c[k], abs=1e-12) for k in a)
+def _power(edges, max_iter, tol=1e-6):
+    """Plain power iteration of one week: values, steps, converged."""
+    import numpy as np
+    nodes = sorted({x for e in edges for x in e})
+    at = {x: i for i, x in enumerate(nodes)}
+    x = np.full(len(nodes), 1 / len(nodes))
+    for it in range(1, max_iter + 1):
+        y = x.copy()
+        for s, t in edges:
+            y[at[t]] += x[at[s]]
+        y /= np.sqrt((y * y).sum())
+        change, x = np.abs(y - x).sum(), y
+        if change < len(nodes) * tol:
+            return dict(zip(nodes, x)), it, True
+    return dict(zip(nodes, x)), max_iter, False
+
+
+def test_eigenvector_blocks_equal_single_steps(f2):
+    weeks = [r.time_week for r in f2.select("time_week").distinct().orderBy("time_week").limit(6).collect()]
+    small = f2.where(F.col("time_week").isin(weeks))
+    by_week = {}
+    for r in small.collect():
+        by_week.setdefault(r.time_week, []).append((r.src, r.dst))
+    for block, chunk in ((20, 1 << 14), (5, 3)):  # the second with salted nodes and blocks that 13 is no multiple of
+        nodes, per = eigenvector_iterate(small, max_iter=13, block=block, chunk=chunk)
+        got = {(r[0], r[1]): r[2] for r in nodes.collect()}
+        stops = {r.time_week: (r.iterations, r.converged) for r in per.collect()}
+        assert set(stops) == set(weeks)  # weeks that did not converge are there
+        for w, e in by_week.items():
+            x, it, conv = _power(e, 13)
+            assert stops[w] == (it, conv)
+            assert all(got[w, v] == pytest.approx(x[v], abs=1e-12) for v in x)
+
+
+def test_hub_with_a_third_of_the_edges(spark):
+    """One account in a third of a week's edges, far beyond the salt chunk."""
+    from txgraph.operators.paths import betweenness, closeness
+    rows = [("20201", 0, k) for k in range(1, 61)] + [("20201", k, k % 60 + 1) for k in range(1, 61)] + [("20201", k, 0) for k in range(1, 61, 2)]
+    e = E.edges(spark.createDataFrame(rows, "time_week string, src long, dst long"))
+    for f, col in ((closeness, "closeness"), (betweenness, "betweenness")):
+        a = {r.node: r[col] for r in f(e).collect()}
+        b = {r.node: r[col] for r in f(e, chunk=4, batches=9).collect()}
+        assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k], abs=1e-12) for k in a)
+
+
+def test_many_batches_leave_few_files(spark, f2):
+    """Batches are merged as they come and their tables deleted."""
+    import os
+    from txgraph.session import checkpoint_dir
+    week = f2.where(F.col("time_week") == f2.agg(F.min("time_week")).first()[0])
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    before = {d for d in os.listdir(folder) if d.startswith("cut-")}
+    pm = path_metrics(week, batches=40)
+    left = {d for d in os.listdir(folder) if d.startswith("cut-")} - before
+    assert len(left) <= 8
+    assert rows(pm["bc"], "node", "bc") == rows(path_metrics(week)["bc"], "node", "bc")
 
 
 def test_triangles_match_bruteforce(f2):
