@@ -13,14 +13,16 @@ Shape of the job:
 
 1. Signatures, and 128-bit hashes of the word sequence.  Documents of the same words
    are copies; one of each goes on.
-2. Representatives meet by band.  Each bucket's members are compared with its first
-   member only, by the exact similarity of their texts, and links give components.
-3. Members that are not in the component of their bucket's first one are compared with all
-   members of the bucket in other components whose signatures are not clearly unlike.
-   So a group of thousands of near copies makes one pair a member and band, and
-   a link between different texts is still found if any band holds both.
+2. Representatives meet by band.  Each bucket's members are compared with one member only, its
+   head, by the exact similarity of their texts, and links give components.  This is repeated
+   ``STARS`` times with other heads, for members that are not yet in the head's component.
+   So a group of thousands of near copies makes one pair a member and round.
+3. Members that are still outside the main component of one of their buckets are compared with all
+   members of the bucket in other components whose signatures agree as those of a
+   similar pair do.  So a link between different texts is found if any band holds both.
 
-With 24 bands of 4 coordinates a pair of similarity 0.8 shares no band in 3 of a million cases.
+With 24 bands of 4 coordinates a pair of similarity 0.8 shares no band in 3 of a million cases; its
+``K`` coordinates agree too little for a comparison in 3 of 100,000.
 
 Defined cases: a text with fewer than five words, but not none, is one shingle; texts without words
 (null and empty ones too) are each alone, unless equal; repeated rows are copies;
@@ -43,9 +45,12 @@ from txgraph.session import cut
 
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 4
-K = BANDS * ROWS
-#: Least agreement of signatures for a comparison in step 3: five standard deviations below the threshold.
-AGREE = math.floor((THRESHOLD - 5 * math.sqrt(THRESHOLD * (1 - THRESHOLD) / K)) * K)
+#: Coordinates of a signature: those of the bands first.
+K = 192
+#: Rounds of comparisons with a head.
+STARS = 4
+#: Least agreement of signatures for a comparison: four standard deviations below the threshold.
+AGREE = math.floor((THRESHOLD - 4 * math.sqrt(THRESHOLD * (1 - THRESHOLD) / K)) * K)
 _NEVER = np.uint64(2 ** 64 - 1)
 
 
@@ -112,7 +117,7 @@ def sign(docs: DataFrame) -> DataFrame:
                 if bare.any():
                     c1[bare] = slice_hashes(data, off[:-1], off[1:])[bare] ^ np.uint64(1)
                     c2[bare] = mix64(slice_hashes(mix64(data), off[:-1], off[1:]))[bare]
-                v = sig.reshape(n * BANDS, ROWS)
+                v = np.ascontiguousarray(sig[:, :BANDS * ROWS]).reshape(n * BANDS, ROWS)
                 key = slice_hashes(v.reshape(-1), np.arange(n * BANDS) * ROWS, np.arange(1, n * BANDS + 1) * ROWS)
                 key = mix64(key + np.tile(np.arange(BANDS, dtype=np.uint64), n))
                 filled = ~bare
@@ -177,23 +182,39 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     order = F.struct("doc_id", "uid")
     copies = cut(signed.groupBy("copy1", "copy2").agg(F.min(order).alias("first")))
     reps = (signed.select("uid", "bands", "sig").join(copies.select(F.col("first.uid").alias("uid")), "uid", "left_semi"))
-    bands = cut(reps.select(F.explode("bands").alias("key"), "uid"))
-    # buckets with company
-    heads = bands.groupBy("key").agg(F.min("uid").alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
-    members = cut(bands.join(heads, "key").where("uid <> head"))
-    near = links(docs, signed, members.select(F.col("head").alias("a"), F.col("uid").alias("b")).distinct(), threshold)
-    comp = cut(components(near))
-    of = lambda c, name: comp.select(F.col("id").alias(c), F.col("root").alias(name))
-    apart = (members.join(of("uid", "root"), "uid", "left").join(of("head", "head_root"), "head", "left")
-             .where(F.coalesce("root", "uid") != F.coalesce("head_root", "head"))
-             .select("key", "uid", F.coalesce("root", "uid").alias("root")))
-    apart = cut(apart)
-    sig = signed.select("uid", "sig")
-    left = apart.join(sig, "uid").select("key", F.col("uid").alias("a"), F.col("root").alias("ra"), F.col("sig").alias("sa"))
-    every = (bands.join(apart.select("key").distinct(), "key", "left_semi").join(of("uid", "root"), "uid", "left")
-             .join(sig, "uid").select("key", F.col("uid").alias("b"), F.coalesce("root", "uid").alias("rb"), F.col("sig").alias("sb")))
-    alike = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda e: e))
-    rest = cut(left.join(every, (left["key"] == every["key"]) & (F.col("ra") != F.col("rb")) & (alike >= AGREE))
+    # bucket members; only buckets with company
+    bands = reps.select(F.posexplode("bands").alias("band", "key"), "uid")
+    company = bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    pool = cut(bands.join(company, "key"))
+    sig = cut(signed.join(pool.select("uid").distinct(), "uid", "left_semi").select("uid", "sig", "bands"))
+    side = lambda c: sig.select(F.col("uid").alias(c), F.col("sig").alias(f"s{c}"), F.col("bands").alias(f"k{c}"))
+    agree = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda e: e)) >= AGREE
+    near, comp = None, None
+
+    def apart() -> DataFrame:
+        """Members with their component, of the buckets that hold several."""
+        if comp is None:
+            return pool.withColumn("root", F.col("uid"))
+        m = pool.join(comp.select(F.col("id").alias("uid"), "root"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
+        several = m.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+        return m.join(several, "key", "left_semi")
+
+    for turn in range(STARS):
+        m = cut(apart())
+        head = m.groupBy("key").agg(F.min_by(F.struct("uid", "root"), F.xxhash64("uid", F.lit(turn))).alias("h"))
+        star = (m.join(head, "key").where("root <> h.root")
+                .select(F.least("uid", "h.uid").alias("a"), F.greatest("uid", "h.uid").alias("b")).distinct())
+        star = cut(star.join(side("a"), "a").join(side("b"), "b").where(agree).select("a", "b"))
+        found = links(docs, signed, star, threshold)
+        near = found if near is None else cut(near.unionByName(found))
+        comp = cut(components(near))
+    m = cut(apart())
+    # the component with the most members of a bucket, and the members outside it
+    main = (m.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main")))
+    out = m.join(main, "key").where("root <> main").select("key", "band", F.col("uid").alias("a"), F.col("root").alias("ra")).join(side("a"), "a")
+    every = m.select("key", F.col("uid").alias("b"), F.col("root").alias("rb")).join(side("b"), "b")
+    first = F.array_position(F.zip_with("ka", "kb", lambda x, y: x == y), True) == F.col("band") + 1  # each pair once
+    rest = cut(out.join(every, (out["key"] == every["key"]) & (F.col("ra") != F.col("rb")) & first & agree)
                .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     more = links(docs, signed, rest, threshold)
     comp = cut(components(near.unionByName(more)))
