@@ -22,6 +22,8 @@ null ids come first; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -98,15 +100,18 @@ def parents(m: DataFrame) -> DataFrame:
 
 
 def depths(tree: DataFrame) -> DataFrame:
-    """``id, root, depth`` by pointer doubling: rounds grow with the logarithm of the longest chain."""
-    at = cut(tree.select("id", F.coalesce("parent", "id").alias("root"), F.col("parent").isNotNull().cast("long").alias("depth")))
+    """``id, root, depth`` by pointer doubling: rounds grow with the logarithm of the longest chain, and
+    only messages that have not found their root take part in the next one."""
+    active = cut(tree.select("id", F.coalesce("parent", "id").alias("root"), F.col("parent").isNotNull().cast("long").alias("depth")))
+    done = []
     while True:
-        # one row for each ancestor in use, so a frequent one is met once and split by skew handling on the other side
-        up = at.select(F.col("id").alias("root"), F.col("root").alias("next"), F.col("depth").alias("more")).where("more > 0")
-        if up.join(at.select("root").distinct(), "root", "left_semi").isEmpty():
-            return at
-        at = cut(at.join(up, "root", "left").select("id", F.coalesce("next", "root").alias("root"),
-                                                    (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")))
+        pointers = reduce(DataFrame.unionByName, [*done, active]).where("depth > 0") \
+            .select(F.col("id").alias("root"), F.col("root").alias("next"), F.col("depth").alias("more"))
+        step = cut(active.join(pointers, "root", "left"))
+        done.append(step.where("next is null").select("id", "root", "depth"))
+        active = step.where("next is not null").select("id", F.col("next").alias("root"), (F.col("depth") + F.col("more")).alias("depth"))
+        if active.isEmpty():
+            return reduce(DataFrame.unionByName, done)
 
 
 def threads(conversations: DataFrame) -> DataFrame:
