@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from txgraph.llm.common import table
 from txgraph.llm.kernels import ascii_words, distinct, lower_ascii, mix64, slice_hashes, space_tokens, text_chunks
 
-LABELLED = 6000
-POOL = 4000
+LABELLED = 4000
+POOL = 2000
 ROUNDS = 3
 SURE = 0.95
 ADD = 300
@@ -100,7 +100,7 @@ class Sparse:
     def __init__(self, rows: list[np.ndarray], sizes: list[int]):
         self.n, self.sizes = len(rows), np.asarray(sizes, np.int64)
         self.row = np.repeat(np.arange(self.n), [len(r) for r in rows])
-        self.col = np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64)
+        self.col = np.concatenate([*rows, np.zeros(0, np.int32)]).astype(np.int64)
         self.value = (1 / np.sqrt(np.maximum(self.sizes, 1)))[self.row]
         self.rows = rows
         self.dim = DIM
@@ -245,9 +245,9 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
     x = np.array(got["meta"].tolist(), np.float64).reshape(len(got), LAYOUT + 1 + 2 * NAMES)
     mean, std = (x.mean(0), x.std(0)) if len(x) else (np.zeros(x.shape[1]), np.ones(x.shape[1]))
     std = np.where(std > 0, std, 1)
-    rows = [np.asarray(r, np.int64) for r in got["text"]]
+    rows = [np.asarray(r, np.int32) for r in got.pop("text")]
     # a feature in fewer than three sample documents has no weight, so it can go here
-    often = np.bincount(np.concatenate([*rows, np.zeros(0, np.int64)]), minlength=DIM) >= 3
+    often = np.bincount(np.concatenate([*rows, np.zeros(0, np.int32)]), minlength=DIM) >= 3
     text, meta = Sparse([r[often[r]] for r in rows], [len(r) for r in rows]), Dense((x - mean) / std)
     return {"mean": mean, "std": std, **{t: co_train(text, meta, got[t].to_numpy(np.float64), n) for t in TARGETS}}
 
