@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txgraph.session import cut
+from txgraph.session import cut, discard
 
 #: Text bytes that one task or block is planned for.
 BLOCK_BYTES = 24 << 20
@@ -50,12 +50,13 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         m = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = (both.where("v > u").join(m, "u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
-        large = cut(large)
+        before, large = e, cut(large)
         m2 = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(m2, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(m2.select("u", F.col("m").alias("v")))
                  .where("u <> v").distinct())
         e = cut(small)
+        discard(before, large)
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == last:
             break

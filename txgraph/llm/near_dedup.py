@@ -41,14 +41,14 @@ from pyspark.sql import functions as F
 
 from txgraph.llm.common import components, table
 from txgraph.llm.kernels import mix64, occurrences, shingles, slice_hashes, text_chunks
-from txgraph.session import cut
+from txgraph.session import cut, discard
 
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 4
 #: Coordinates of a signature: those of the bands first.
 K = 192
 #: Rounds of comparisons with a head.
-STARS = 4
+STARS = 2
 #: Least agreement of signatures for a comparison: four standard deviations below the threshold.
 AGREE = math.floor((THRESHOLD - 4 * math.sqrt(THRESHOLD * (1 - THRESHOLD) / K)) * K)
 _NEVER = np.uint64(2 ** 64 - 1)
@@ -173,7 +173,9 @@ def links(docs: DataFrame, signed: DataFrame, pairs: DataFrame, threshold: float
     text = cut(text)
     with_b = pairs.join(text.select(F.col("uid").alias("b"), F.col("text").alias("text_b")), "b")
     both = with_b.join(text.select(F.col("uid").alias("a"), F.col("text").alias("text_a")), "a")
-    return cut(similarity(both).where(F.col("similarity") >= threshold).select("a", "b"))
+    out = cut(similarity(both).where(F.col("similarity") >= threshold).select("a", "b"))
+    discard(text)
+    return out
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -208,6 +210,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         found = links(docs, signed, star, threshold)
         near = found if near is None else cut(near.unionByName(found))
         comp = cut(components(near))
+        discard(m, star)
     m = cut(apart())
     # the component with the most members of a bucket, and the members outside it
     main = (m.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main")))
@@ -218,6 +221,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     more = links(docs, signed, rest, threshold)
     comp = cut(components(near.unionByName(more)))
+    discard(m, sig, pool, rest)
     copy = signed.join(copies, ["copy1", "copy2"]).select("uid", "doc_id", "h", F.col("first.uid").alias("rep"), F.col("first.doc_id").alias("copy_id"))
     rooted = copy.join(comp.select(F.col("id").alias("rep"), "root"), "rep", "left") \
         .select("uid", "doc_id", "h", "copy_id", F.coalesce("root", "rep").alias("root"))
