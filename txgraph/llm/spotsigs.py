@@ -73,12 +73,12 @@ def pruned_jaccard(a: Column, b: Column, least: float = 0.0) -> Column:
 
 
 def _before(d: DataFrame) -> DataFrame:
-    """``doc_id, h, prev_id, prev_h, quarter``: each document with the one before it (the first: the last one)."""
+    """``k, prev_k, quarter``: each document with the one before it (the first: the last one)."""
     spark = d.sparkSession
     asc = [F.col("doc_id").asc_nulls_first(), F.col("h")]
-    keys = cut(d.select("doc_id", "h", F.length("text").alias("n")).distinct()
+    keys = cut(d.select("doc_id", "h", "k", F.length("text").alias("n")).distinct()
                .repartitionByRange(parts_for(0, spark), *asc).withColumn("part", F.spark_partition_id()))
-    me = F.struct("doc_id", "h", "n")
+    me = F.struct("doc_id", "h", "n", "k")
     inside = keys.withColumn("prev", F.lag(me).over(W.partitionBy("part").orderBy(*asc)))
     # one row a partition
     last = keys.groupBy("part").agg(F.max(me).alias("last"))
@@ -86,23 +86,22 @@ def _before(d: DataFrame) -> DataFrame:
         F.lag("last").over(W.orderBy("part")),
         F.last("last").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, W.unboundedFollowing))).alias("last"))
     prev = F.coalesce("prev", "last")
-    return inside.join(ends, "part").select("doc_id", "h", prev["doc_id"].alias("prev_id"), prev["h"].alias("prev_h"),
-                                            F.floor(prev["n"] / 4).cast("int").alias("quarter"))
+    return inside.join(ends, "part").select("k", prev["k"].alias("prev_k"), F.floor(prev["n"] / 4).cast("int").alias("quarter"))
 
 
 def with_edits(docs: DataFrame, anchors: int = ANCHORS) -> DataFrame:
     """Fingerprints of all documents, of their edited texts, and how alike they are to those and to the next document's."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     names = common_words(d, anchors)
-    d = d.withColumn("h", F.xxhash64("text")).dropDuplicates(["doc_id", "h"])
-    before = cut(_before(d)).withColumnsRenamed({"doc_id": "b_id", "h": "b_h"})
-    d = (d.join(before, (F.col("h") == F.col("b_h")) & F.col("doc_id").eqNullSafe(F.col("b_id")))
-         .select("doc_id", "h", "text", "prev_id", "prev_h", "quarter", signatures(F.col("text"), names).alias("spots")))
-    after = d.select(F.col("prev_id").alias("a_id"), F.col("prev_h").alias("a_h"),
-                     F.substring(F.col("text"), F.lit(1), F.col("quarter")).alias("head"), F.col("spots").alias("next_spots"))
+    # one key column, so that the texts are shuffled once for dropping repeats and both joins
+    d = d.withColumn("h", F.xxhash64("text"))
+    d = d.withColumn("k", F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.hex("h"))).dropDuplicates(["k"])
+    before = cut(_before(d))
+    d = d.join(before, "k").select("doc_id", "k", "text", "prev_k", "quarter", signatures(F.col("text"), names).alias("spots"))
+    after = d.select(F.col("prev_k").alias("k"), F.substring(F.col("text"), F.lit(1), F.col("quarter")).alias("head"),
+                     F.col("spots").alias("next_spots"))
     n = F.length("text")
-    e = (d.select("doc_id", "h", "text", "spots")
-         .join(after, (F.col("h") == F.col("a_h")) & F.col("doc_id").eqNullSafe(F.col("a_id")))
+    e = (d.select("doc_id", "k", "text", "spots").join(after, "k")
          .select("doc_id", "spots", "next_spots", n.cast("long").alias("n_chars"),
                  F.concat(F.substring(F.col("text"), F.lit(1), (n - F.floor(n / 4)).cast("int")), F.col("head")).alias("edited")))
     e = e.select("*", signatures(F.col("edited"), names).alias("edited_spots"))
