@@ -2,9 +2,11 @@
 
 A message's lines that begin with ``>`` are quotes, and the number of ``>`` before the text is the quote
 level; the other lines are its own.  Lines are normalised (markers off, white space as one blank, lower case)
-and hashed.  A quoted line belongs to the earliest message that has it as its own line: in the same
-conversation before the quoting one, or else in a conversation with a smaller id.  The message that most
-of the lines of the lowest quote level with any match belong to is the one replied to (ties: the latest).  A message without
+and hashed, and so are passages: the consecutive lines of one level up to a blank line, joined, so that a quote
+may be wrapped elsewhere than its original.  A quoted line or passage belongs to the earliest message that has it as
+its own line or passage: in the same conversation before the quoting one, however short it is, or else, with
+``MIN_WORDS`` words, in a conversation with a smaller id.  The message that most
+of the lines and passages of the lowest quote level with any match belong to is the one replied to (ties: the latest).  A message without
 such a match replies to the one before it in its conversation.  A parent thus always comes before its
 reply in the order of conversation and turn, so the replies form trees: the conversations.
 
@@ -31,8 +33,10 @@ from pyspark.sql import Window as W
 from txgraph.llm.common import parts_for, table
 from txgraph.session import cut
 
-#: Words that a quoted line needs to be a link.
+#: Words that a quoted line or passage needs to be a link to another conversation, where short ones are ambiguous.
 MIN_WORDS = 3
+#: Letters of scripts without blanks; two of them count as a word.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\u3000-\u303F\uFF00-\uFF65]"
 MARK = r"^\s*(>\s*)+"
 
 
@@ -45,6 +49,26 @@ def normal(line: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(F.regexp_replace(line, MARK, ""), r"\s+", " ")))
 
 
+def _read(text: Column) -> Column:
+    """``level, line`` of each line of a message, in an array."""
+    return F.transform(F.split(text, "\n"), lambda x: F.struct(level(x).alias("level"), normal(x).alias("line")))
+
+
+def _joined(lines: str) -> Column:
+    """The passages of an array column ``lines`` of ``level, line``."""
+    x = F.col(lines)
+    blank = lambda i: F.length(F.get(x, i)["line"]) == 0
+    at = F.filter(F.sequence(F.lit(0), F.size(x) - 1), lambda i: (i == 0) | blank(i) | blank(i - 1) | (F.get(x, i)["level"] != F.get(x, i - 1)["level"]))
+    run = lambda a, b: F.struct(F.get(x, a)["level"].alias("level"), F.array_join(
+        F.transform(F.slice(x, a + 1, b - a), lambda e: e["line"]), " ").alias("line"))
+    ends = F.concat(F.slice(at, 2, F.size(at)), F.array(F.size(x)))
+    return F.zip_with(at, ends, run)
+
+
+def n_words(line: Column) -> Column:
+    return F.size(F.split(line, " ")) + F.floor(F.length(F.regexp_replace(line, f"(?!{UNSPACED}).", "")) / 2)
+
+
 def body(text: Column) -> Column:
     """Own lines of a message, without the line that announces a quote."""
     lines = F.split(text, "\n")
@@ -78,14 +102,16 @@ def messages(conversations: DataFrame) -> DataFrame:
 
 def parents(m: DataFrame) -> DataFrame:
     """``id, conv_id, turn, parent, linked`` of each message: the one replied to (null: none), and whether by a quote."""
-    lines = m.select("id", "conv_id", F.explode(F.split("text", "\n")).alias("line")) \
-        .select("id", "conv_id", level(F.col("line")).alias("level"), normal(F.col("line")).alias("line")) \
-        .where(F.size(F.split("line", " ")) >= MIN_WORDS) \
-        .select("id", "conv_id", "level", F.xxhash64("line").alias("l1"), F.xxhash64(F.lit(1), "line").alias("l2")).distinct()
+    lines = m.select("id", "conv_id", _read(F.col("text")).alias("lines")) \
+        .select("id", "conv_id", F.explode(F.concat(F.col("lines"), _joined("lines"))).alias("x")) \
+        .select("id", "conv_id", "x.level", F.regexp_replace("x.line", f"(?<={UNSPACED}) (?={UNSPACED})", "").alias("line")) \
+        .where(F.length("line") > 0) \
+        .select("id", "conv_id", "level", (n_words(F.col("line")) >= MIN_WORDS).alias("far"),
+                F.xxhash64("line").alias("l1"), F.xxhash64(F.lit(1), "line").alias("l2")).distinct()
     lines = cut(lines)
     own, quoted = lines.where("level = 0"), lines.where("level > 0")
     here = own.groupBy("conv_id", "l1", "l2").agg(F.min("id").alias("here"))
-    wide = own.groupBy("l1", "l2").agg(F.min(F.struct("id", "conv_id")).alias("wide"))
+    wide = own.where("far").groupBy("l1", "l2").agg(F.min(F.struct("id", "conv_id")).alias("wide"))
     q = (quoted.alias("q").join(here.alias("o"), F.col("q.conv_id").eqNullSafe(F.col("o.conv_id")) & (F.col("q.l1") == F.col("o.l1"))
                                 & (F.col("q.l2") == F.col("o.l2")) & (F.col("o.here") < F.col("q.id")), "left")
          .select("q.*", "here").join(wide, ["l1", "l2"], "left"))
