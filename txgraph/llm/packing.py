@@ -6,12 +6,16 @@ patterns with multiplicities.  Spark counts the lengths and ranks the pieces
 of each length; the solver sees the histogram only; Spark then maps a piece's
 (length, rank) to its sequence and offset.
 
-The solver takes the largest remaining length, enumerates the undominated
+The solver takes the largest remaining length, enumerates undominated
 fillings of the space around it, and applies the chosen one as often as the
 counts allow.  It branches over the fillings, prunes a branch as soon as
 its waste leaves no better result than the incumbent, and begins with best-fit
 decreasing as incumbent.  It stops at the lower bound or after ``NODES`` steps.
 
+The enumeration is truncated: a step keeps at most ``BRANCH`` fillings, found in at most 400 extensions with three
+lengths tried a level, and a filling is never applied fewer times than the counts allow.  All pieces
+are packed, but only a result at the lower bound is known to be optimal; an exhausted search proves nothing.
+
 Defined cases: a null or empty text is the end id alone; equal doc_ids and texts
 are packed each for itself; an empty table gives no rows; other columns are ignored.
 """
