@@ -3,7 +3,7 @@
 import os
 
 import pytest
-from conftest import SF0001
+from tests.paths import SF0001
 
 from pyspark.sql import functions as F
 

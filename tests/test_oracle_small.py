@@ -5,7 +5,7 @@ import os
 
 import duckdb
 import pytest
-from conftest import SF0001
+from tests.paths import SF0001
 
 import __spark_entry__ as ENTRY
 

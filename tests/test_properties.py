@@ -1,7 +1,7 @@
 """Invariants on the generated tables (sf0.001) and equivalence of execution modes."""
 
 import pytest
-from conftest import SF0001
+from tests.paths import SF0001
 
 from pyspark.sql import functions as F
 
