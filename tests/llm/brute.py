@@ -35,14 +35,14 @@ def near_classes(docs, threshold=0.8):
     return [find(i) for i in range(len(docs))]
 
 
-def removed_lines(docs, least=5):
+def removed_lines(docs):
     """Removed line numbers of each of the ``(doc_id, text)`` rows, in order of place."""
     seen, out = [], []
     for _, text in docs:
         gone = set()
         for k, line in enumerate((text or "").split("\n")):
             s = frozenset(line.lower().split())
-            if len(s) < least:
+            if not s:
                 continue
             if any(5 * len(s & t) >= 4 * len(s | t) for t in seen):
                 gone.add(k)
