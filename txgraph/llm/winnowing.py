@@ -6,8 +6,10 @@ fingerprint, on both sides, so any shared span of ``WINDOW`` words shares one.
 share a fingerprint with an item are extended: their ``WINDOW``-word windows are compared with the
 items' own.  An item of fewer words is one window; its length's runs are all fingerprints.
 
-Fingerprints come from the text lower-cased as a whole, which can only add
-candidates; the extension lower-cases A-Z alone and compares 128 hashed bits.
+Both sides take fingerprints and windows from the same words, in which A-Z alone is lower-cased (a
+language's own lower-casing may depend on neighbouring letters); windows are compared by 128 hashed bits.  A
+document's windows meet the distinct windows of all items; which items hold them is looked up
+afterwards, once for each document and window, however often it occurs and however many items share it.
 
 The fingerprints are taken inside a document's row, so its text is never moved; the benchmark
 side is a written table that Spark broadcasts only below its own size threshold, and a frequent passage
@@ -31,12 +33,14 @@ WINDOW = 10
 K = 5
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same words before lower-casing.
+RAW_WORDS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def words(text: Column) -> Column:
-    """Words of a text whose letters are already lower-cased."""
-    return F.array_remove(F.split(text, SEPARATORS), "")
+    """Words of a text, A-Z lower-cased."""
+    return F.array_remove(F.split(F.translate(text, UPPER, LOWER), SEPARATORS), "")
 
 
 def runs(w: Column, k: int) -> Column:
@@ -63,20 +67,19 @@ def _windows(w: Column, k: int) -> Column:
         .otherwise(F.array().cast("array<struct<s:int,len:int,h1:bigint,h2:bigint>>"))
 
 
-def find_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Occurrences ``doc_id, row, s, len, item_id`` of the items' windows in ``docs``.
+def find_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+    """Occurrences ``doc_id, row, s, len, h1, h2`` of the items' windows in ``docs``, and the ``item_id, len, h1, h2`` of all windows.
 
     ``row`` is a hash of the document's id and text; equal rows have equal hits.
     """
     d = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), "text").where("text is not null")
     i = items.select(F.col("item_id").cast("string").alias("item_id"), "text").where("text is not null")
-    exact = lambda t: words(F.translate(t, UPPER, LOWER))
-    item_words = cut(i.select("item_id", exact("text").alias("w"), words(F.lower("text")).alias("lw")).where("size(w) > 0"))
+    item_words = cut(i.select("item_id", words(F.col("text")).alias("w")).where("size(w) > 0"))
     # lengths below the window, at most window - 1 values
     short = sorted(r.n for r in item_words.where(F.size("w") < window).select(F.size("w").alias("n")).distinct().collect())
     prints = lambda w: F.concat(winnow(w, window, min(K, window)), *[runs(w, k) for k in short])
-    item_prints = cut(item_words.select(F.explode(prints(F.col("lw"))).alias("f")).distinct())
-    found = cut(d.select("doc_id", "row", words(F.lower("text")).alias("w"))
+    item_prints = cut(item_words.select(F.explode(prints(F.col("w"))).alias("f")).distinct())
+    found = cut(d.select("doc_id", "row", words(F.col("text")).alias("w"))
                 .select("doc_id", "row", F.explode(prints(F.col("w"))).alias("f"))
                 .join(item_prints, "f").select("doc_id", "row").distinct())
     lengths = [window, *short]
@@ -86,27 +89,30 @@ def find_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFr
             .otherwise(F.array().cast("array<struct<s:int,len:int,h1:bigint,h2:bigint>>")) for k in lengths])).alias("x"))
         .select("item_id", "x.len", "x.h1", "x.h2").distinct())
     same = (F.col("d.row") == F.col("c.row")) & F.col("d.doc_id").eqNullSafe(F.col("c.doc_id"))
-    return (d.alias("d").join(found.alias("c"), same, "left_semi").dropDuplicates(["doc_id", "row"])
-            .select("doc_id", "row", exact("text").alias("w"))
+    hits = (d.alias("d").join(found.alias("c"), same, "left_semi").dropDuplicates(["doc_id", "row"])
+            .select("doc_id", "row", words(F.col("text")).alias("w"))
             .select("doc_id", "row", F.explode(F.concat(*[_windows(F.col("w"), k) for k in lengths])).alias("x"))
             .select("doc_id", "row", "x.*")
-            .join(item_windows, ["len", "h1", "h2"]).select("doc_id", "row", "s", "len", "item_id"))
+            .join(item_windows.select("len", "h1", "h2").distinct(), ["len", "h1", "h2"], "left_semi"))
+    return hits.select("doc_id", "row", "s", "len", "h1", "h2"), item_windows
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """Hit words and items of every document, one row for each row of ``docs``."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    hits = cut(find_hits(d, items, window))
+    hits, item_windows = find_hits(d, items, window)
+    hits = cut(hits)
     in_doc = W.partitionBy("doc_id", "row").orderBy("s", "e").rowsBetween(W.unboundedPreceding, -1)
     spans = hits.groupBy("doc_id", "row", "s").agg((F.max("len") + F.col("s")).alias("e"))
     covered = (spans.withColumn("from", F.greatest("s", F.max("e").over(in_doc)))
                .groupBy("doc_id", "row").agg(F.sum(F.greatest(F.lit(0), F.col("e") - F.col("from"))).alias("n_hit")))
-    listed = (hits.select("doc_id", "row", "item_id").distinct().groupBy("doc_id", "row")
+    listed = (hits.select("doc_id", "row", "len", "h1", "h2").distinct().join(item_windows, ["len", "h1", "h2"])
+              .select("doc_id", "row", "item_id").distinct().groupBy("doc_id", "row")
               .agg(F.array_sort(F.collect_list("item_id")).alias("items")))
     by_doc = covered.join(listed, (covered["row"] == listed["row"]) & covered["doc_id"].eqNullSafe(listed["doc_id"])) \
         .select(covered["doc_id"].alias("hit_id"), covered["row"].alias("hit_row"), "n_hit", "items")
     every = d.select("doc_id", F.xxhash64("doc_id", "text").alias("row"),
-                     F.coalesce(F.regexp_count(F.lower("text"), F.lit(WORDS)), F.lit(0)).cast("long").alias("n_words"))
+                     F.coalesce(F.regexp_count("text", F.lit(RAW_WORDS)), F.lit(0)).cast("long").alias("n_words"))
     items_of = F.coalesce("items", F.array().cast("array<string>"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return (every.join(by_doc, (F.col("row") == F.col("hit_row")) & F.col("doc_id").eqNullSafe(F.col("hit_id")), "left")
@@ -117,7 +123,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs``, all columns, without any window of an item."""
     d = docs.select("doc_id", "text")
-    bad = find_hits(d, items, window).select("doc_id", "row").distinct() \
+    bad = find_hits(d, items, window)[0].select("doc_id", "row").distinct() \
         .select(F.col("doc_id").alias("_bad_id"), F.col("row").alias("_bad_row"))
     return docs.join(bad, F.xxhash64("doc_id", "text").eqNullSafe(F.col("_bad_row"))
                      & F.col("doc_id").eqNullSafe(F.col("_bad_id")), "left_anti")
