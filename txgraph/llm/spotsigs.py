@@ -121,7 +121,7 @@ def near_pairs(docs: DataFrame, num: int = 4, den: int = 5, anchors: int = ANCHO
     spots = cut(d.select("doc_id", F.array_sort(signatures(F.col("text"), common_words(d, anchors))).alias("spots"))
                 .groupBy("spots").agg(F.min("doc_id").alias("id")))
     rarity = setjoin.sketch(spots.select(F.explode("spots").alias("s")).select(F.xxhash64("s").alias("token")))
-    sets = spots.select("id", F.size("spots").alias("n"), setjoin.ordered_tokens(F.col("spots"), rarity).alias("t"))
+    sets = spots.withColumn("r", rarity.scalar()).select("id", F.size("spots").alias("n"), setjoin.ordered_tokens(F.col("spots"), F.col("r")).alias("t"))
     size = F.floor(F.log("n") / math.log(den / num)).cast("int")
     rows = (sets.select("id", "n", size.alias("part"), F.explode(F.slice("t", 1, setjoin.prefix_length(F.col("n"), num, den))).alias("t")))
     other = rows.unionByName(rows.withColumn("part", F.col("part") + 1))
