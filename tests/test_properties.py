@@ -67,13 +67,14 @@ def test_one_job_equals_single_weeks(spark, f2):
 
 
 def test_bfs_batches_and_salting_agree(f2):
-    base = path_metrics(f2)
-    batched = path_metrics(f2, batches=3)
-    salted = path_metrics(f2, chunk=2)  # forces many salts per node
+    base = path_metrics(f2, with_reach=True)
+    batched = path_metrics(f2, batches=3, with_reach=True)
+    salted = path_metrics(f2, chunk=2, with_reach=True)  # forces many salts per node
     for other in (batched, salted):
         assert rows(base["bc"], "time_week", "node", "bc") == rows(other["bc"], "time_week", "node", "bc")
-        assert rows(base["ecc"], "time_week", "source", "ecc", "reach") == \
-            rows(other["ecc"], "time_week", "source", "ecc", "reach")
+        assert rows(base["closeness_parts"], "time_week", "node", "r1", "tot") == rows(other["closeness_parts"], "time_week", "node", "r1", "tot")
+        assert rows(base["ecc"], "time_week", "source", "ecc") == rows(other["ecc"], "time_week", "source", "ecc")
+        assert rows(base["reach"], "time_week", "source", "reach") == rows(other["reach"], "time_week", "source", "reach")
 
 
 def test_sampled_betweenness_full_fraction_is_exact(f2):
