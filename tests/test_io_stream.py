@@ -13,6 +13,7 @@ from txgraph.plans.weekly import run_incremental
 from txgraph.sources.fixtures import transactions_f1
 from txgraph.sources.transactions import (of_weeks, pending_weeks, read_transactions, read_week,
                                           read_weekly, select_weeks, write_weekly)
+from txgraph.sources.versions import read_committed
 from txgraph.streaming import start_weekly_stream
 
 CHEAP = ("degree", "degree_centrality", "attributes")
@@ -56,14 +57,13 @@ def test_incremental_runs_only_new_weeks(spark, tmpdir_fresh):
     assert run_incremental(spark, root, sink, metrics=CHEAP) == 0       # rerun skips finished weeks
     write_store(spark, root, ["19953"])
     assert run_incremental(spark, root, sink, metrics=CHEAP) == 1
-    stats = read_weekly(spark, f"{sink}/stats")
+    stats = read_committed(spark, sink, "stats")
     assert sorted(r.time_week for r in stats.select("time_week").collect()) == ["19951", "19952", "19953"]
     for node_sink in ("degree", "degree_centrality"):
-        nodes = read_weekly(spark, f"{sink}/nodes/{node_sink}")
+        nodes = read_committed(spark, sink, f"node_{node_sink}")
         assert sorted(r.time_week for r in nodes.select("time_week").distinct().collect()) == ["19951", "19952", "19953"]
-        week = read_week(spark, f"{sink}/nodes/{node_sink}", "19952")
-        assert week.count() == nodes.where("time_week = '19952'").count() > 0
-    files = [f for d, _, names in os.walk(f"{sink}/nodes/degree") for f in names if f.endswith(".parquet")]
+        assert nodes.where("time_week = '19952'").count() > 0
+    files = [f for d, _, names in os.walk(f"{sink}/tables/node_degree") for f in names if f.endswith(".parquet")]
     assert len(files) <= 3 * 8
 
 
@@ -85,7 +85,7 @@ def test_week_without_complete_edges_is_not_pending_for_ever(spark, tmpdir_fresh
      .write.mode("append").partitionBy("date").option("header", "true").csv(root))
     assert run_incremental(spark, root, sink, metrics=("degree",)) == 2
     assert run_incremental(spark, root, sink, metrics=("degree",)) == 0
-    got = {r.time_week: r.nr_nodes for r in read_weekly(spark, f"{sink}/stats").collect()}
+    got = {r.time_week: r.nr_nodes for r in read_committed(spark, sink, "stats").collect()}
     assert got["19957"] == 0 and got["19951"] > 0
 
 
@@ -93,6 +93,7 @@ def test_csv_sink(spark, tmpdir_fresh):
     sink = os.path.join(tmpdir_fresh, "csv")
     write_weekly(spark.createDataFrame([("20221", 1.5), ("20222", 2.5)], "time_week string, v double"), sink, fmt="csv")
     assert {r.time_week: r.v for r in read_weekly(spark, sink, fmt="csv").collect()} == {"20221": 1.5, "20222": 2.5}
+    assert [r.v for r in read_week(spark, sink, "20222", fmt="csv").collect()] == [2.5]
 
 
 def test_edges_are_built_once(spark, tmpdir_fresh):

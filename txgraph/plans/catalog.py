@@ -334,6 +334,30 @@ def q_summary_betweenness(spark, d):
     return stats.summarize(betweenness(f1(spark, d)), "betweenness", "betweenness")
 
 
+_SCC = O.BFS + """,
+scc AS (SELECT a.time_week, a.s AS node, min(a.t) AS component
+        FROM bfs a JOIN bfs b ON b.time_week = a.time_week AND b.s = a.t AND b.t = a.s GROUP BY ALL)"""
+
+
+@query("strong_components", O.with_base("f2", _SCC, "SELECT time_week, node, component FROM scc", recursive=True))
+def q_strong_components(spark, d):
+    """The strongly connected component of every account, named by its smallest account."""
+    from txgraph.operators.components import strongly_connected
+    return strongly_connected(f2(spark, d))
+
+
+@query("diameter_strict", O.with_base("f2", _SCC + """,
+sizes AS (SELECT time_week, component, count(*) AS s FROM scc GROUP BY ALL),
+far AS (SELECT time_week, max(d) AS d, count(*) AS pairs FROM bfs GROUP BY ALL)""", """
+SELECT time_week, CAST(sum(s) AS BIGINT) AS nodes, count(*) AS components, max(s) AS largest_component,
+       CASE WHEN any_value(pairs) = sum(s) * sum(s) THEN CAST(any_value(d) AS BIGINT) END AS diameter_strict
+FROM sizes JOIN far USING (time_week) GROUP BY time_week""", recursive=True))
+def q_diameter_strict(spark, d):
+    """Components of every week, and the diameter of the weeks that are one component."""
+    from txgraph.operators.components import diameter_strict
+    return diameter_strict(f2(spark, d))
+
+
 @query("eccentricity_stats", O.with_base("f1", O.BFS + """,
 ec AS (SELECT time_week, s AS node, max(d) AS ecc, count(*) AS reach FROM bfs GROUP BY ALL)""", """
 SELECT time_week, round(avg(ecc), 6) AS mean_ecc, round(stddev_pop(ecc), 6) AS std_ecc,
