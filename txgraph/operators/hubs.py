@@ -21,10 +21,14 @@ HUB_ROWS = 1 << 16
 
 def hubs(rows: DataFrame, key: str, chunk: int = HUB_CHUNK) -> DataFrame:
     """``(time_week, key, _parts)`` of the nodes whose rows are split; fewer than ``HUB_ROWS`` rows."""
-    all_rows = rows.agg(F.floor(F.count(F.lit(1)) / F.lit(HUB_ROWS)).alias("n")).scalar()
-    n = rows.groupBy(W, key).agg(F.count(F.lit(1)).alias("_n"))
-    return (n.where(F.col("_n") > F.greatest(F.lit(chunk).cast("long"), all_rows))
-            .select(W, key, F.ceil(F.col("_n") / F.lit(chunk)).cast("int").alias("_parts")))
+    return hubs_of(rows.groupBy(W, key).agg(F.count(F.lit(1)).alias("_n")), key, "_n", chunk)
+
+
+def hubs_of(counts: DataFrame, key: str, count: str, chunk: int = HUB_CHUNK) -> DataFrame:
+    """The same from a table with the ``count`` of rows (or an upper bound) of each ``(time_week, key)``."""
+    share = counts.agg(F.floor(F.coalesce(F.sum(count), F.lit(0)) / F.lit(HUB_ROWS)).alias("n")).scalar()
+    return (counts.where(F.col(count) > F.greatest(F.lit(chunk).cast("long"), share.cast("long")))
+            .select(W, key, F.ceil(F.col(count) / F.lit(chunk)).cast("int").alias("_parts")))
 
 
 def salted(rows: DataFrame, key: str, hub: DataFrame) -> DataFrame:
@@ -39,7 +43,12 @@ def repeated(values: DataFrame, key: str, hub: DataFrame) -> DataFrame:
     return values.join(F.broadcast(hub), [W, key], "left").withColumn("_salt", F.explode(salts)).drop("_parts")
 
 
-def attach(rows: DataFrame, values: DataFrame, key: str, chunk: int = HUB_CHUNK, how: str = "inner") -> DataFrame:
-    """``rows`` (read twice: a written table or a short plan) with the columns of ``values``, one row per ``(time_week, key)``."""
-    hub = hubs(rows, key, chunk)
+def attach(rows: DataFrame, values: DataFrame, key: str, chunk: int = HUB_CHUNK, how: str = "inner",
+           count: str | None = None) -> DataFrame:
+    """``rows`` with the columns of ``values``, one row per ``(time_week, key)``.
+
+    ``count`` names the column of ``values`` that is the number of the key's rows, or above it (a degree); without it
+    ``rows`` are counted, so they are read twice and should be a written table or a short plan.
+    """
+    hub = hubs(rows, key, chunk) if count is None else hubs_of(values.select(W, key, count), key, count, chunk)
     return salted(rows, key, hub).join(repeated(values, key, hub), [W, key, "_salt"], how).drop("_salt")

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txgraph.operators.edges import W, vertices
+from txgraph.operators.hubs import HUB_CHUNK, attach
 from txgraph.session import cut
 
 
@@ -38,13 +39,13 @@ def pair_degrees(p: DataFrame) -> DataFrame:
         F.count(F.when(F.col("s") == 2, 1)).alias("recip"))
 
 
-def triangles(e: DataFrame) -> DataFrame:
+def triangles(e: DataFrame, chunk: int = HUB_CHUNK) -> DataFrame:
     """``(time_week, a, b, c, w)``: each triangle once, w = s_ab * s_bc * s_ac."""
     p = weighted_pairs(e)
     k = pair_degrees(p).select(W, "node", "k")
     # orient every pair from the lower to the higher (k, id) endpoint
-    pk = (p.join(k.withColumnRenamed("node", "u").withColumnRenamed("k", "ku"), [W, "u"])
-          .join(k.withColumnRenamed("node", "v").withColumnRenamed("k", "kv"), [W, "v"]))
+    pk = attach(attach(p, k.withColumnsRenamed({"node": "u", "k": "ku"}), "u", chunk, count="ku"),
+                k.withColumnsRenamed({"node": "v", "k": "kv"}), "v", chunk, count="kv")
     lo_first = (F.col("ku") < F.col("kv")) | ((F.col("ku") == F.col("kv")) & (F.col("u") < F.col("v")))
     o = pk.select(W,
                   F.when(lo_first, F.col("u")).otherwise(F.col("v")).alias("a"),

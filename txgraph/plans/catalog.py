@@ -153,7 +153,8 @@ FROM (SELECT time_week, avg(degree_centrality) AS mean_centrality, stddev_pop(de
 LEFT JOIN {O.gini_sql('dc', 'degree_centrality')} g USING (time_week)"""))
 def q_summary_degree_centrality(spark, d):
     """G6 + G16: mean, population std and Gini of degree centrality."""
-    return stats.summarize(deg_ops.degree_centrality(f1(spark, d)), "degree_centrality", "centrality")
+    # mean, deviation and Gini read the node table, which is written once
+    return stats.summarize(cut(deg_ops.degree_centrality(f1(spark, d))), "degree_centrality", "centrality")
 
 
 @query("degree_pdf", O.with_base("f1", "", """
@@ -319,6 +320,16 @@ def q_summary_closeness(spark, d):
     return stats.summarize(closeness(f1(spark, d)), "closeness", "closeness")
 
 
+@query("closeness_percentiles", O.with_base("f1", _CLOSE, """
+SELECT time_week, count(*) AS n, round(quantile_cont(closeness, 0.5), 6) AS median,
+       round(quantile_cont(closeness, 0.95), 6) AS p95, round(quantile_cont(closeness, 0.99), 6) AS p99
+FROM cl GROUP BY time_week""", recursive=True))
+def q_closeness_percentiles(spark, d):
+    """A6, A7 of a real-valued metric: median, 95th and 99th percentile of closeness."""
+    from txgraph.operators.paths import closeness
+    return stats.quantiles(closeness(f1(spark, d)), "closeness", {"median": 0.5, "p95": 0.95, "p99": 0.99})
+
+
 @query("betweenness", O.with_base("f1", _BETW,
        "SELECT time_week, node, round(betweenness, 6) AS betweenness FROM bw", recursive=True))
 def q_betweenness(spark, d):
