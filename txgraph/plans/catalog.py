@@ -544,6 +544,14 @@ WHERE NOT ({exclude})"""
 _REFERENCE = "(year = 2018 AND week < 26) OR (year = 2022 AND week > 34)"
 
 
+@query("core_refined", None)
+def q_core_refined(spark, d):
+    """G14 beyond degree order: score of the best prefix, and after accounts changed sides while that gained (iterative: no SQL)."""
+    from txgraph.operators.core import refined_core
+    return refined_core(f2(spark, d))[1]
+
+
+
 def _series(name: str, base_name: str, cols: list[str] | None = None, exclude=None, exclude_sql: str = _REFERENCE):
     inner = ORACLE[base_name]
     if cols:
