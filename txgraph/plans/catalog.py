@@ -551,7 +551,6 @@ def q_core_refined(spark, d):
     return refined_core(f2(spark, d))[1]
 
 
-
 def _series(name: str, base_name: str, cols: list[str] | None = None, exclude=None, exclude_sql: str = _REFERENCE):
     inner = ORACLE[base_name]
     if cols:
