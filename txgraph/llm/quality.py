@@ -6,15 +6,24 @@ often it occurs in one class, shrunk where it is rare.  Metadata view: source, l
 page and its layout (lines, line length, shares of capitals, digits, signs and blanks), never
 its words.
 
-The classifiers are fitted on bounded samples, chosen by a hash of the id:
-``LABELLED`` rows of the labels, of which a quarter is kept for calibration, and
-``POOL`` documents as unlabelled pool.  In each of ``ROUNDS`` rounds either view labels its most
-confident pool documents (calibrated probability of at least ``SURE``, at most ``ADD`` a class) for the *other*
-view's training set, and both are fitted again.  Last, a calibrated view's log odds are combined by a
-logistic regression on the calibration rows, and every document is scored from its whole text.
+The labels are learned from at most ``LABELLED`` labelled rows, chosen by a hash of the id, of which a
+quarter is kept for calibration; every other document is unlabelled.  In each of ``ROUNDS`` rounds Spark tasks
+score *all* unlabelled documents with both views.  A document that one view is sure of (calibrated probability
+of at least ``SURE``) is a pseudo-labelled row of the *other* view.  The tasks return only sums over these rows,
+of a size fixed by ``DIM``: how often each text feature occurs in either class, and the moments of the metadata.
+Both views are fitted again from the sums of the labelled and the pseudo-labelled rows, the latter of a class
+weighing together no more than its labelled rows:
+
+* text: weights are the log ratios of the summed counts, each times a weight that a logistic regression on the
+  labelled rows learns; a feature seen in pseudo-labelled documents alone has the mean weight;
+* metadata: the linear discriminant of the summed moments.
+
+Last, the calibrated views' log odds are combined by a logistic regression on the calibration rows, and every
+document is scored from its whole text.  The driver holds the labelled sample, sums and weights only.
 
 Defined cases: a null text is empty, a null source, language or length is a value of its own (length:
-that of the text); several labels of a document count as several rows; null labels are left out; a
+that of the text); several labels of a document count as several rows (of several texts with the id,
+the one with the smallest hash is learned from); null labels are left out; a
 target with one label value only gives its share (0.5 without labels) to all; an empty table gives no rows.
 """
 
@@ -30,19 +39,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txgraph.llm.common import table
-from txgraph.llm.kernels import ascii_words, distinct, lower_ascii, mix64, slice_hashes, space_tokens, text_chunks
+from txgraph.llm.kernels import ascii_words, distinct, lower_ascii, slice_hashes, space_tokens, text_chunks
+from txgraph.session import cut, discard
 
 LABELLED = 4000
-POOL = 2000
 ROUNDS = 3
 SURE = 0.95
-ADD = 300
 BUCKETS = 1 << 16
 STEM = 6  # bytes
 DIM = 3 * BUCKETS
 NAMES = 32  # hashed values of source and of lang
 LAYOUT = 9
 TARGETS = ("quality", "toxic")
+META = LAYOUT + 1 + 2 * NAMES
+#: Sums of one class of one target: rows and feature counts (text), rows, sums and products (metadata).
+TEXT_SUMS, META_SUMS = 1 + DIM, 1 + META + META * META
+CLASS_SUMS = TEXT_SUMS + META_SUMS
+#: Metadata values are multiples of this, so that their sums do not depend on the order of the rows.
+GRAIN = 1 / 1024
 
 
 def text_features(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -82,7 +96,7 @@ def _named(col: pa.Array, seed: bytes) -> np.ndarray:
 
 def metadata(b: pa.RecordBatch, lo: int, hi: int, data: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Dense metadata view of the rows ``lo:hi``."""
-    x = np.zeros((hi - lo, LAYOUT + 1 + 2 * NAMES))
+    x = np.zeros((hi - lo, META))
     x[:, :LAYOUT] = layout(data, off)
     chars = b.column("n_chars").slice(lo, hi - lo)
     x[:, LAYOUT] = np.log1p(np.maximum(pc.if_else(pc.is_null(chars), pa.array(np.diff(off)), chars).to_numpy(zero_copy_only=False), 0))
@@ -92,64 +106,70 @@ def metadata(b: pa.RecordBatch, lo: int, hi: int, data: np.ndarray, off: np.ndar
     return x
 
 
-class Sparse:
-    """Rows of present features, scaled to unit length; ``factor`` weights the features."""
+def scaled(x: np.ndarray, mean: np.ndarray, std: np.ndarray) -> np.ndarray:
+    return np.rint((x - mean) / std / GRAIN) * GRAIN
+
 
-    factor = 1.0
+class Texts:
+    """Text view of the labelled sample: rows of present features, scaled to unit length."""
 
-    def __init__(self, rows: list[np.ndarray], sizes: list[int]):
-        self.n, self.sizes = len(rows), np.asarray(sizes, np.int64)
-        self.row = np.repeat(np.arange(self.n), [len(r) for r in rows])
+    def __init__(self, rows: list[np.ndarray]):
+        self.n, self.rows = len(rows), rows
+        self.sizes = np.array([len(r) for r in rows], np.int64)
+        self.row = np.repeat(np.arange(self.n), self.sizes)
         self.col = np.concatenate([*rows, np.zeros(0, np.int32)]).astype(np.int64)
         self.value = (1 / np.sqrt(np.maximum(self.sizes, 1)))[self.row]
-        self.rows = rows
-        self.dim = DIM
 
     def dot(self, w: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, (w * self.factor)[self.col] * self.value, self.n)
+        return np.bincount(self.row, w[self.col] * self.value, self.n)
 
     def back(self, r: np.ndarray) -> np.ndarray:
-        return np.bincount(self.col, r[self.row] * self.value, self.dim) * self.factor
+        return np.bincount(self.col, r[self.row] * self.value, DIM)
 
-    def weigh(self, y: np.ndarray) -> np.ndarray:
-        """Shrunk log ratios of the features' shares in the two classes, now the factor."""
-        n1 = np.bincount(self.col, y[self.row], self.dim)
-        n0 = np.bincount(self.col, minlength=self.dim) - n1
-        ratio = np.log((n1 + 0.5) / (y.sum() + 1)) - np.log((n0 + 0.5) / (len(y) - y.sum() + 1))
-        df = n0 + n1
-        self.factor = np.where(df >= 3, ratio * df / (df + 3), 0.0)
-        return self.factor
+    def take(self, i: np.ndarray) -> "Texts":
+        return Texts([self.rows[k] for k in i])
 
-    def take(self, i: np.ndarray) -> "Sparse":
-        return Sparse([self.rows[k] for k in i], self.sizes[i])
 
+def class_sums(row: np.ndarray, col: np.ndarray, x: np.ndarray, teach_text: np.ndarray, teach_meta: np.ndarray) -> np.ndarray:
+    """``CLASS_SUMS`` numbers over the rows marked for the text view and those marked for the metadata view."""
+    m = x[teach_meta]
+    return np.concatenate([[teach_text.sum()], np.bincount(col[teach_text[row]], minlength=DIM),
+                           [len(m)], m.sum(0), (m.T @ m).reshape(-1)])
 
-class Dense:
-    def __init__(self, x: np.ndarray):
-        self.x, self.n, self.dim = x, len(x), x.shape[1]
-
-    def dot(self, w: np.ndarray) -> np.ndarray:
-        return self.x @ w
-
-    def back(self, r: np.ndarray) -> np.ndarray:
-        return self.x.T @ r
 
-    def take(self, i: np.ndarray) -> "Dense":
-        return Dense(self.x[i])
+def balanced(base: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """Sums of labelled and pseudo-labelled rows (``2, size``; first the rows), the latter weighing no more than the former."""
+    share = np.minimum(1, base[:, 0] / np.maximum(more[:, 0], 1))
+    return base + more * share[:, None]
 
 
-def fit(x: Sparse | Dense, y: np.ndarray, l2: float, steps: int = 60, rate: float = 0.3) -> tuple[np.ndarray, float]:
-    """Logistic regression, both classes of equal weight, by gradient steps with moment scaling."""
-    w, bias = np.zeros(x.dim), 0.0
-    m, v = np.zeros(x.dim + 1), np.zeros(x.dim + 1)
+def fit_text(x: Texts, y: np.ndarray, sums: np.ndarray, l2: float = 1e-5, steps: int = 60, rate: float = 0.3) -> tuple[np.ndarray, float]:
+    """Weights from the log ratios of the counts, refined on the labelled rows; both classes of equal weight."""
+    (r0, n0), (r1, n1) = ((c[0], c[1:]) for c in sums)
+    ratio = np.log((n1 + 0.5) / (r1 + 1)) - np.log((n0 + 0.5) / (r0 + 1))
+    df = n0 + n1
+    factor = np.where(df >= 3, ratio * df / (df + 3), 0.0)  # shrunk where rare
+    known = np.bincount(x.col, minlength=DIM) >= 3
+    # a feature that the labelled rows do not show is worth its ratio times the mean weight of the others
+    w, bias = np.zeros(DIM), 0.0
+    m, v = np.zeros(DIM + 1), np.zeros(DIM + 1)
     weight = np.where(y > 0, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
     for t in range(1, steps + 1):
-        r = weight * (sigmoid(x.dot(w) + bias) - y)
-        g = np.append(x.back(r) + l2 * w, r.sum())
+        r = weight * (sigmoid(x.dot(w * factor) + bias) - y)
+        g = np.append(x.back(r) * factor + l2 * w, r.sum())
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         step = rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-6)
         w, bias = w - step[:-1], bias - step[-1]
-    return w, bias
+    size = np.abs(factor[known]).sum()
+    return np.where(known, w, (w[known] @ np.abs(factor[known])) / max(size, 1e-9)) * factor, bias
+
+
+def fit_meta(sums: np.ndarray, ridge: float = 1e-2) -> tuple[np.ndarray, float]:
+    """Linear discriminant from both classes' rows, sums and products, both classes of equal weight."""
+    mean = sums[:, 1:1 + META] / sums[:, :1]
+    cov = sum(c[1 + META:].reshape(META, META) / c[0] - np.outer(k, k) for c, k in zip(sums, mean)) / 2
+    w = np.linalg.solve(cov + ridge * np.eye(META), mean[1] - mean[0])
+    return w, float(-w @ (mean[0] + mean[1]) / 2)
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
@@ -167,43 +187,43 @@ def calibrate(z: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def co_train(text: Sparse, meta: Dense, y: np.ndarray, n_labelled: int) -> dict:
-    """Model of one target; rows from ``n_labelled`` on are the pool.  Every fourth labelled row calibrates."""
-    every = np.arange(n_labelled)
-    known = every[~np.isnan(y[:n_labelled])]
-    held, base = known[known % 4 == 3], known[known % 4 != 3]
-    share = (y[known].sum() + 0.5) / (len(known) + 1)
-    if any(len(np.unique(y[k])) < 2 for k in (held, base)):
-        return {"share": float(share)}
-    pool = np.arange(n_labelled, len(y))
-    views = (text, meta)
-    extra: list[dict[int, float]] = [{}, {}]
-    for turn in range(ROUNDS + 1):
-        models = []
-        for k, x in enumerate(views):
-            rows = np.concatenate([base, np.fromiter(extra[k], np.int64, len(extra[k]))])
-            labels = np.concatenate([y[base], np.fromiter(extra[k].values(), np.float64, len(extra[k]))])
-            some = x.take(rows)
-            factor = some.weigh(labels) if k == 0 else 1.0
-            w, b = fit(some, labels, (1e-5, 1e-4)[k])
-            w = w * factor
-            z = x.dot(w) + b
-            c = calibrate(z[held][:, None], y[held])
-            models.append((w, b, z * c[0] + c[1]))
-        if turn == ROUNDS or not len(pool):
-            break
-        for k in (0, 1):  # each view teaches the other
-            p = sigmoid(models[k][2][pool])
-            for label, sure in ((1.0, p), (0.0, 1 - p)):
-                best = pool[np.argsort(-sure, kind="stable")[:ADD]]
-                for i in best[sure[best - n_labelled] >= SURE]:
-                    extra[1 - k].setdefault(int(i), label)
-    odds = np.column_stack([m[2] for m in models])
-    mix = calibrate(odds[held], y[held])
-    cal = [calibrate((x.dot(w) + b)[held][:, None], y[held]) for x, (w, b, _) in zip(views, models)]
-    # one weight vector a view, the calibration and the mixing worked in
-    return {"text": models[0][0] * cal[0][0] * mix[0], "meta": models[1][0] * cal[1][0] * mix[1],
-            "bias": float(mix[2] + sum(mix[k] * (cal[k][0] * models[k][1] + cal[k][1]) for k in (0, 1)))}
+class Learner:
+    """Co-training of one target on the labelled sample and on sums over pseudo-labelled rows.
+
+    Every fourth labelled row calibrates.  ``views`` holds for each view weights, bias and calibration;
+    it is empty if a class is missing.
+    """
+
+    def __init__(self, text: Texts, meta: np.ndarray, y: np.ndarray):
+        known = np.flatnonzero(~np.isnan(y))
+        held, base = known[np.arange(len(known)) % 4 == 3], known[np.arange(len(known)) % 4 != 3]
+        self.share = float((y[known].sum() + 0.5) / (len(known) + 1))
+        self.views = []
+        if any(len(np.unique(y[k])) < 2 for k in (held, base)):
+            return
+        self.y, self.text = y[base], text.take(base)
+        self.held_y, self.held_text, self.held_meta = y[held], text.take(held), meta[held]
+        self.sums = np.stack([class_sums(self.text.row, self.text.col, meta[base], self.y == c, self.y == c) for c in (0, 1)])
+        self.learn(np.zeros((2, CLASS_SUMS)))
+
+    def learn(self, pseudo: np.ndarray) -> None:
+        """Fit both views anew from the labelled rows and the sums of the pseudo-labelled ones."""
+        text, meta = (balanced(self.sums[:, at], pseudo[:, at]) for at in (slice(TEXT_SUMS), slice(TEXT_SUMS, None)))
+        wt, bt = fit_text(self.text, self.y, text)
+        wm, bm = fit_meta(meta)
+        z = self.held_text.dot(wt) + bt, self.held_meta @ wm + bm
+        cal = [calibrate(k[:, None], self.held_y) for k in z]
+        self.odds = np.column_stack([k * c[0] + c[1] for k, c in zip(z, cal)])
+        # the calibration worked in
+        self.views = [(w * c[0], b * c[0] + c[1]) for (w, b), c in zip(((wt, bt), (wm, bm)), cal)]
+
+    def model(self) -> dict:
+        """One weight vector a view, the calibration and the mixing worked in."""
+        if not self.views:
+            return {"share": self.share}
+        mix = calibrate(self.odds, self.held_y)
+        (wt, bt), (wm, bm) = self.views
+        return {"text": wt * mix[0], "meta": wm * mix[1], "bias": float(bt * mix[0] + bm * mix[1] + mix[2])}
 
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -214,42 +234,78 @@ def _columns(docs: DataFrame) -> DataFrame:
                        F.col("source").cast("string").alias("source"), F.col("n_chars").cast("long").alias("n_chars"))
 
 
-def train(docs: DataFrame, labels: DataFrame) -> dict:
-    """Models of all targets and the scale of the metadata view."""
-    spark = docs.sparkSession
-    by_hash = F.xxhash64("doc_id")
-    picked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), *[F.col(t).cast("double").alias(t) for t in TARGETS]) \
-        .where(" or ".join(f"{t} is not null" for t in TARGETS)).orderBy(by_hash, *TARGETS).limit(LABELLED)
-    pool = docs.select("doc_id").join(labels.select("doc_id"), "doc_id", "left_anti").orderBy(by_hash).limit(POOL)
-    ids = picked.unionByName(pool.select(F.col("doc_id").cast("long").alias("doc_id"), *[F.lit(None).cast("double").alias(t) for t in TARGETS])
-                             .withColumn("pool", F.lit(True)), allowMissingColumns=True)
-    sample = _columns(docs).join(F.broadcast(ids), "doc_id")  # LABELLED + POOL rows at most
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows of a few megabytes of text with their text features (row and feature) and metadata."""
+    for b in batches:
+        for lo, hi, data, off in text_chunks(b.column("text")):
+            row, col = text_features(data, off)
+            yield b.slice(lo, hi - lo), row, col, metadata(b, lo, hi, data, off)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, pa.Table]:
+    """The chosen labels, and their documents' features, ``LABELLED`` rows at most, in a fixed order."""
+    chosen = cut(labels.select(F.col("doc_id").cast("long").alias("doc_id"), *[F.col(t).cast("double").alias(t) for t in TARGETS])
+                 .where(" or ".join(f"{t} is not null" for t in TARGETS)).orderBy(F.xxhash64("doc_id"), *TARGETS).limit(LABELLED))
+    d = _columns(docs).join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id")
+    one = d.groupBy("doc_id").agg(F.min_by(F.struct(*COLUMNS[1:]), F.xxhash64(*COLUMNS[1:])).alias("d")).select("doc_id", "d.*")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for lo, hi, data, off in text_chunks(b.column("text")):
-                row, col = text_features(data, off)
-                order = np.argsort(row * (DIM) + col)
-                at = np.searchsorted(row[order], np.arange(hi - lo + 1))
-                x = metadata(b, lo, hi, data, off)
-                part = b.slice(lo, hi - lo)
-                yield pa.record_batch([part.column("doc_id"), part.column("pool"), *[part.column(t) for t in TARGETS],
-                                       pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(col[order].astype(np.int32))),
-                                       pa.array(list(x), pa.list_(pa.float64()))],
-                                      names=["doc_id", "pool", *TARGETS, "text", "meta"])
-
-    ddl = "doc_id long, pool boolean, " + "".join(f"{t} double, " for t in TARGETS) + "text array<int>, meta array<double>"
-    got = sample.select(*COLUMNS, "pool", *TARGETS).mapInArrow(features, ddl).orderBy("pool", "doc_id", *TARGETS).toPandas()
-    n = int(got["pool"].isna().sum())
-    got = got.sort_values("pool", key=lambda s: s.notna(), kind="stable")
-    x = np.array(got["meta"].tolist(), np.float64).reshape(len(got), LAYOUT + 1 + 2 * NAMES)
-    mean, std = (x.mean(0), x.std(0)) if len(x) else (np.zeros(x.shape[1]), np.ones(x.shape[1]))
+        for part, row, col, x in _chunks(batches):
+            order = np.argsort(row * DIM + col)
+            at = np.searchsorted(row[order], np.arange(part.num_rows + 1))
+            col = col[order].astype("<i4")
+            yield pa.record_batch([part.column("doc_id"), pa.array([col[i:j].tobytes() for i, j in zip(at[:-1], at[1:])], pa.binary()),
+                                   pa.array([v.tobytes() for v in x], pa.binary())], names=["doc_id", "text", "meta"])
+
+    got = one.mapInArrow(features, "doc_id long, text binary, meta binary").join(F.broadcast(chosen), "doc_id")
+    return chosen, got.toArrow().sort_by([(c, "ascending") for c in ("doc_id", *TARGETS)])
+
+
+def pseudo_sums(docs: DataFrame, model: dict) -> dict[str, np.ndarray]:
+    """For each target the ``2, CLASS_SUMS`` sums over the documents that the views are sure of."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
+    names = list(model["views"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        total = np.zeros((len(names), 2, CLASS_SUMS))
+        for part, row, col, x in _chunks(batches):
+            x = scaled(x, model["mean"], model["std"])
+            per = np.sqrt(np.maximum(np.bincount(row, minlength=part.num_rows), 1))
+            for k, t in enumerate(names):
+                (wt, bt), (wm, bm) = model["views"][t]
+                by_text = sigmoid(np.bincount(row, wt[col], part.num_rows) / per + bt)
+                by_meta = sigmoid(x @ wm + bm)
+                for c in (0, 1):
+                    of_text, of_meta = ((p if c else 1 - p) >= SURE for p in (by_text, by_meta))
+                    total[k, c] += class_sums(row, col, x, of_meta, of_text)  # each view teaches the other
+        flat = total.reshape(-1)
+        for at in np.array_split(np.flatnonzero(flat), max(1, len(flat) >> 16)):
+            yield pa.record_batch([pa.array(at.astype(np.int32)), pa.array(flat[at])], names=["i", "v"])
+
+    got = _columns(docs).mapInArrow(run, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).toArrow()
+    shared.unpersist()
+    flat = np.zeros(len(names) * 2 * CLASS_SUMS)
+    flat[got.column("i").to_numpy()] = got.column("v").to_numpy()
+    return dict(zip(names, flat.reshape(len(names), 2, CLASS_SUMS)))
+
+
+def train(docs: DataFrame, labels: DataFrame) -> dict:
+    """Models of all targets and the scale of the metadata view."""
+    chosen, got = labelled_sample(docs, labels)
+    x = np.array([np.frombuffer(v.as_py(), np.float64) for v in got.column("meta")]).reshape(-1, META)
+    mean, std = (x.mean(0), x.std(0)) if len(x) else (np.zeros(META), np.ones(META))
     std = np.where(std > 0, std, 1)
-    rows = [np.asarray(r, np.int32) for r in got.pop("text")]
-    # a feature in fewer than three sample documents has no weight, so it can go here
-    often = np.bincount(np.concatenate([*rows, np.zeros(0, np.int32)]), minlength=DIM) >= 3
-    text, meta = Sparse([r[often[r]] for r in rows], [len(r) for r in rows]), Dense((x - mean) / std)
-    return {"mean": mean, "std": std, **{t: co_train(text, meta, got[t].to_numpy(np.float64), n) for t in TARGETS}}
+    text = Texts([np.frombuffer(v.as_py(), "<i4") for v in got.column("text")])
+    learners = {t: Learner(text, scaled(x, mean, std), got.column(t).to_numpy().astype(np.float64)) for t in TARGETS}
+    rest = docs.join(F.broadcast(chosen.select(F.col("doc_id").alias("_id")).distinct()), F.col("doc_id").cast("long") == F.col("_id"), "left_anti")
+    some = {t: k for t, k in learners.items() if k.views}
+    for _ in range(ROUNDS if some else 0):
+        sums = pseudo_sums(rest, {"mean": mean, "std": std, "views": {t: k.views for t, k in some.items()}})
+        for t, k in some.items():
+            k.learn(sums[t])
+    discard(chosen)
+    return {"mean": mean, "std": std, **{t: k.model() for t, k in learners.items()}}
 
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
@@ -258,18 +314,16 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for b in batches:
-            for lo, hi, data, off in text_chunks(b.column("text")):
-                n = hi - lo
-                row, col = text_features(data, off)
-                per = np.sqrt(np.maximum(np.bincount(row, minlength=n), 1))
-                x = (metadata(b, lo, hi, data, off) - model["mean"]) / model["std"]
-                out = []
-                for t in TARGETS:
-                    m = model[t]
-                    out.append(np.full(n, m["share"]) if "share" in m else
-                               sigmoid(np.bincount(row, m["text"][col], n) / per + x @ m["meta"] + m["bias"]))
-                yield pa.record_batch([b.column("doc_id").slice(lo, n), *map(pa.array, out)], names=["doc_id", *TARGETS])
+        for part, row, col, x in _chunks(batches):
+            n = part.num_rows
+            per = np.sqrt(np.maximum(np.bincount(row, minlength=n), 1))
+            x = scaled(x, model["mean"], model["std"])
+            out = []
+            for t in TARGETS:
+                m = model[t]
+                out.append(np.full(n, m["share"]) if "share" in m else
+                           sigmoid(np.bincount(row, m["text"][col], n) / per + x @ m["meta"] + m["bias"]))
+            yield pa.record_batch([part.column("doc_id"), *map(pa.array, out)], names=["doc_id", *TARGETS])
 
     return _columns(docs).mapInArrow(run, "doc_id long, " + ", ".join(f"{t} double" for t in TARGETS))
 
