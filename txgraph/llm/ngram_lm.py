@@ -10,7 +10,7 @@ Shape of the job, all of it growing with the corpus and none of it on the driver
 
 1. Words are counted (one grouping); ``N``, ``V`` and the words that hold 1/1024 of
    all tokens or more (so 1024 at most) are the only things collected.
-2. Documents are grouped into blocks by a hash of their id.  A block sends each
+2. Documents are grouped into blocks by a hash of id and text.  A block sends each
    of its *distinct* bigrams once, with its training count, to the shard of the context.
    A frequent bigram is one entry a block.  A context that holds 1/1024 of the tokens
    is spread over several shards by its next word.
@@ -171,15 +171,20 @@ class _Block:
         n_words = np.concatenate(per) if per else np.zeros(0, np.int64)
         self.n = n_words + 1
         ends = np.cumsum(self.n) - 1
-        word = np.full(int(self.n.sum()), STOP, np.uint64)
+        word = np.full(int(self.n.sum()) + 1, START, np.uint64)  # the start context has a number too
+        word[ends] = STOP
         inner = np.ones(len(word), bool)
-        inner[ends] = False
+        inner[ends], inner[-1] = False, False
         word[inner] = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-        before = np.roll(word, 1)
-        before[ends - n_words] = START
-        both, self.words = distinct(np.concatenate([word, before]))
-        self.word, ctx = both[:len(word)], both[len(word):]
-        pair, keys = distinct(ctx * len(self.words) + self.word)
+        del hashes, inner
+        number, self.words = distinct(word)
+        del word
+        number = number.astype(np.int32)  # a block has far fewer words than 2 ** 31
+        self.word, start = number[:-1], number[-1]
+        self.ctx = np.roll(self.word, 1)
+        self.ctx[ends - n_words] = start
+        pair, keys = distinct(self.ctx.astype(np.int64) * len(self.words) + self.word)
+        pair = pair.astype(np.int32)
         c, w = np.divmod(keys, len(self.words))
         splits = np.ones(len(self.words), np.uint64)
         for i in np.flatnonzero(np.isin(self.words, np.fromiter(hot, np.uint64, len(hot)))):
@@ -188,11 +193,10 @@ class _Block:
         shard = (mix64(self.words[c] + sub * _SALT) % np.uint64(shards)).astype(np.int64)
         order = np.argsort(shard * len(self.words) ** 2 + keys) if shards * len(self.words) ** 2 < 2 ** 62 \
             else np.lexsort((keys, shard))
-        self.shard, self.c, self.w = shard[order], c[order], w[order]
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
+        self.shard, self.c, self.w = shard[order].astype(np.int32), c[order].astype(np.int32), w[order].astype(np.int32)
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
         self.pair = place[pair]  # question of each token
-        self.ctx = ctx
 
     def counts(self) -> np.ndarray:
         """Training count of each distinct bigram."""
@@ -229,7 +233,7 @@ def score(docs: DataFrame, held_out: Column, mu: float = MU) -> DataFrame:
     shards = parts_for((n_bytes or 0) // 6, spark, SHARD_ENTRIES)  # six bytes a token: a plan, not a limit
     hot = {w: (n, -(-2 * n * shards // N)) for w, n in frequent.items() if n >= least} if N else {}
     shared = spark.sparkContext.broadcast(hot)
-    d = d.select("doc_id", "text", "train", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("block"))
+    d = d.select("doc_id", "text", "train", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"))
 
     def ask(t: pa.Table) -> pa.Table:
         b = _Block(t, shards, shared.value)
@@ -244,25 +248,29 @@ def score(docs: DataFrame, held_out: Column, mu: float = MU) -> DataFrame:
 
     def answer(t: pa.Table) -> pa.Table:
         t = t.combine_chunks()
-        asked = []
+        asked, seen = [], []
         for r in range(t.num_rows):
             ctx, per, words, data, control = (t.column(k)[r].as_py() for k in ("contexts", "per", "words", "counts", "control"))
-            per = np.frombuffer(per, "<u4").astype(np.int64)
             words = np.frombuffer(words, np.uint64)
-            asked.append((np.frombuffer(ctx, np.uint64), per, words, decode_values(control, data, len(words))))
-        # keep what was seen in training
-        ctx = np.concatenate([np.repeat(a[0], a[1])[a[3] > 0] for a in asked])
-        words = np.concatenate([a[2][a[3] > 0] for a in asked])
-        n = np.concatenate([a[3][a[3] > 0] for a in asked]).astype(np.float64)
+            asked.append((np.frombuffer(ctx, np.uint64), np.frombuffer(per, "<u4").astype(np.int32), words))
+            n = decode_values(control, data, len(words))
+            some = n > 0  # keep what was seen in training
+            seen.append((np.repeat(asked[-1][0], asked[-1][1])[some], words[some], n[some].astype(np.uint32)))
+        ctx, words, n = (np.concatenate(x) for x in zip(*seen))
+        del seen
         ci, cs = distinct(ctx)
         wi, ws = distinct(words)
+        del ctx, words
         c_rank, w_rank = np.empty(len(cs), np.int64), np.empty(len(ws), np.int64)
         c_rank[np.argsort(cs)] = np.arange(len(cs))
         w_rank[np.argsort(ws)] = np.arange(len(ws))
         pi, ps = distinct(c_rank[ci] * len(ws) + w_rank[wi])
+        del ci, wi
         count = np.bincount(pi, n, len(ps))
+        del pi, n
         order = np.argsort(ps)
         children, count = ps[order], count[order]
+        del ps, order
         parent = children // max(len(ws), 1)
         cs, ws = np.sort(cs), np.sort(ws)
         totals = np.bincount(parent, count, len(cs)).astype(np.int64)
@@ -272,6 +280,7 @@ def score(docs: DataFrame, held_out: Column, mu: float = MU) -> DataFrame:
         with tempfile.TemporaryDirectory() as own:
             path = os.path.join(own, "trie")
             Trie.write(path, cs, totals, np.searchsorted(parent, np.arange(len(cs) + 1)), ws, children, codes)
+            del children, count, parent, codes, cs, ws
             trie = Trie(path)
             out = [trie.lookup(a[0], a[1], a[2]) for a in asked]
             del trie
@@ -282,23 +291,23 @@ def score(docs: DataFrame, held_out: Column, mu: float = MU) -> DataFrame:
 
     def finish(t: pa.Table, answers: pa.Table) -> pa.Table:
         b = _Block(t, shards, shared.value)
-        got = {s: (x, y) for s, x, y in zip(answers.column("shard").to_pylist(), answers.column("totals").to_pylist(),
-                                            answers.column("codes").to_pylist())}
+        row_of = {s: r for r, s in enumerate(answers.column("shard").to_pylist())}
+        totals, coded = answers.column("totals"), answers.column("codes")
         count = np.zeros(len(b.words), np.int64)
         codes = np.zeros(len(b.c), np.uint8)
         for shard, at, ctx, _ in b.questions():
-            x, y = got[shard]
-            count[ctx] = np.frombuffer(x, "<i8")
-            codes[at] = np.frombuffer(y, np.uint8)
+            count[ctx] = np.frombuffer(totals[row_of[shard]].as_py(), "<i8")
+            codes[at] = np.frombuffer(coded[row_of[shard]].as_py(), np.uint8)
         of_context = count.astype(np.float64)
         count[np.flatnonzero(b.words == STOP)] = n_docs
         p1 = (count + 0.5) / (N + 0.5 * (V + 1))
-        c = of_context[b.ctx]
-        p = level[codes[b.pair]] + mu / (c + mu) * p1[b.word]
+        p = level[codes[b.pair]]
+        p += (mu / (of_context + mu))[b.ctx] * p1[b.word]
+        np.log10(p, out=p)
         at = np.cumsum(b.n) - b.n
         add = lambda x: np.add.reduceat(x, at) if len(at) else x
         return pa.table([b.doc_id, pa.array(~b.train), pa.array(b.n), pa.array(add((count[b.word] > 0).astype(np.int64))),
-                         pa.array(np.full(len(at), N, np.int64)), pa.array(add(np.log10(p1)[b.word])), pa.array(add(np.log10(p)))],
+                         pa.array(np.full(len(at), N, np.int64)), pa.array(add(np.log10(p1)[b.word])), pa.array(add(p))],
                         schema=_schema(SCORES))
 
     answers = (d.groupBy("block").applyInArrow(ask, ASK)
