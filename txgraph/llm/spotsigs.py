@@ -45,18 +45,21 @@ def common_words(docs: DataFrame, n: int = ANCHORS) -> list[str]:
     return [r.w for r in w.groupBy("w").count().orderBy(F.desc("count"), "w").limit(n).collect()]
 
 
-def signatures(text: Column, anchors: list[str]) -> Column:
-    """Distinct spot signatures of a text as 32-bit hashes; at least one."""
-    t = normalised(text)
+def signatures(d: DataFrame, text: str, name: str, anchors: list[str]) -> DataFrame:
+    """``d`` with the distinct spot signatures of the column ``text`` as 32-bit hashes (at least one) in ``name``.
+
+    One projection a step, so that no step's expression is copied into the next and evaluated again.
+    """
+    t, parts = f"{name}_words", f"{name}_parts"
+    d = d.withColumn(t, normalised(F.col(text)))
     if not anchors:
-        return F.array(F.hash(t))
+        return d.withColumn(name, F.array(F.hash(t))).drop(t)
     # words are letters and digits only, so they stand for themselves in the pattern
     marked = F.regexp_replace(t, f" (?=(?:{'|'.join(anchors)}) )", "\n")
-    parts = F.split(marked, "\n")
-    chains = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))),
-                         lambda p: F.substring_index(F.rtrim(p), " ", CHAIN + 1))
-    spots = F.array_distinct(F.transform(F.filter(chains, lambda c: F.contains(c, F.lit(" "))), lambda c: F.hash(c)))
-    return F.when(F.size(spots) > 0, spots).otherwise(F.array(F.hash(t)))
+    d = d.withColumn(parts, F.slice(F.split(marked, "\n"), 2, 2 ** 30))
+    chains = F.transform(parts, lambda p: F.substring_index(F.rtrim(p), " ", CHAIN + 1))
+    d = d.withColumn(name, F.array_distinct(F.transform(F.filter(chains, lambda c: F.contains(c, F.lit(" "))), lambda c: F.hash(c))))
+    return d.withColumn(name, F.when(F.size(name) > 0, F.col(name)).otherwise(F.array(F.hash(t)))).drop(t, parts)
 
 
 def fingerprint(spots: Column) -> Column:
@@ -76,7 +79,7 @@ def _before(d: DataFrame) -> DataFrame:
     """``k, prev_k, quarter``: each document with the one before it (the first: the last one)."""
     spark = d.sparkSession
     asc = [F.col("doc_id").asc_nulls_first(), F.col("h")]
-    keys = cut(d.select("doc_id", "h", "k", F.length("text").alias("n")).distinct()
+    keys = cut(d.select("doc_id", "h", "k", F.length("text").alias("n")).dropDuplicates(["k"])
                .repartitionByRange(parts_for(0, spark), *asc).withColumn("part", F.spark_partition_id()))
     me = F.struct("doc_id", "h", "n", "k")
     inside = keys.withColumn("prev", F.lag(me).over(W.partitionBy("part").orderBy(*asc)))
@@ -93,22 +96,23 @@ def with_edits(docs: DataFrame, anchors: int = ANCHORS) -> DataFrame:
     """Fingerprints of all documents, of their edited texts, and how alike they are to those and to the next document's."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     names = common_words(d, anchors)
-    # one key column, so that the texts are shuffled once for dropping repeats and both joins
+    # one key column, so that the texts are shuffled once for dropping repeats and both joins; signatures go with them
     d = d.withColumn("h", F.xxhash64("text"))
-    d = d.withColumn("k", F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.hex("h"))).dropDuplicates(["k"])
+    d = d.withColumn("k", F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.hex("h")))
     before = cut(_before(d))
-    d = d.join(before, "k").select("doc_id", "k", "text", "prev_k", "quarter", signatures(F.col("text"), names).alias("spots"))
-    after = d.select(F.col("prev_k").alias("k"), F.substring(F.col("text"), F.lit(1), F.col("quarter")).alias("head"),
-                     F.col("spots").alias("next_spots"))
+    d = signatures(d.select("k", "doc_id", "text"), "text", "spots", names).dropDuplicates(["k"])
+    # both sides need all columns of ``d``, so the shuffled texts are used again
+    after = d.join(before, "k").select(F.col("prev_k").alias("k"), F.col("doc_id").alias("next_id"), F.col("spots").alias("next_spots"),
+                                       F.substring(F.col("text"), F.lit(1), F.col("quarter")).alias("head"))
     n = F.length("text")
-    e = (d.select("doc_id", "k", "text", "spots").join(after, "k")
-         .select("doc_id", "spots", "next_spots", n.cast("long").alias("n_chars"),
+    e = (d.join(after, "k")
+         .select("doc_id", "next_id", "spots", "next_spots", n.cast("long").alias("n_chars"),
                  F.concat(F.substring(F.col("text"), F.lit(1), (n - F.floor(n / 4)).cast("int")), F.col("head")).alias("edited")))
-    e = e.select("*", signatures(F.col("edited"), names).alias("edited_spots"))
+    e = signatures(e, "edited", "edited_spots", names)
     return e.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), fingerprint(F.col("spots")).alias("fingerprint"),
                     fingerprint(F.col("edited_spots")).alias("edited_fingerprint"),
                     pruned_jaccard(F.col("spots"), F.col("edited_spots")).alias("near_edited"),
-                    pruned_jaccard(F.col("spots"), F.col("next_spots")).alias("near_next"))
+                    pruned_jaccard(F.col("spots"), F.col("next_spots")).alias("near_next"), "next_id")
 
 
 def near_pairs(docs: DataFrame, num: int = 4, den: int = 5, anchors: int = ANCHORS) -> DataFrame:
@@ -118,7 +122,7 @@ def near_pairs(docs: DataFrame, num: int = 4, den: int = 5, anchors: int = ANCHO
     fingerprint are one class and not paired).  ``docs`` has ``doc_id`` and ``text``.
     """
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    spots = cut(d.select("doc_id", F.array_sort(signatures(F.col("text"), common_words(d, anchors))).alias("spots"))
+    spots = cut(signatures(d, "text", "spots", common_words(d, anchors)).select("doc_id", F.array_sort("spots").alias("spots"))
                 .groupBy("spots").agg(F.min("doc_id").alias("id")))
     rarity = setjoin.sketch(spots.select(F.explode("spots").alias("s")).select(F.xxhash64("s").alias("token")))
     sets = spots.withColumn("r", rarity.scalar()).select("id", F.size("spots").alias("n"), setjoin.ordered_tokens(F.col("spots"), F.col("r")).alias("t"))
