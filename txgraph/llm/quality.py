@@ -123,9 +123,6 @@ class Texts:
     def dot(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, w[self.col] * self.value, self.n)
 
-    def back(self, r: np.ndarray) -> np.ndarray:
-        return np.bincount(self.col, r[self.row] * self.value, DIM)
-
     def take(self, i: np.ndarray) -> "Texts":
         return Texts([self.rows[k] for k in i])
 
@@ -149,19 +146,25 @@ def fit_text(x: Texts, y: np.ndarray, sums: np.ndarray, l2: float = 1e-5, steps:
     ratio = np.log((n1 + 0.5) / (r1 + 1)) - np.log((n0 + 0.5) / (r0 + 1))
     df = n0 + n1
     factor = np.where(df >= 3, ratio * df / (df + 3), 0.0)  # shrunk where rare
-    known = np.bincount(x.col, minlength=DIM) >= 3
-    # a feature that the labelled rows do not show is worth its ratio times the mean weight of the others
-    w, bias = np.zeros(DIM), 0.0
-    m, v = np.zeros(DIM + 1), np.zeros(DIM + 1)
+    # weights are learned for the features that the labelled rows show often enough
+    known = np.flatnonzero(np.bincount(x.col, minlength=DIM) >= 3)
+    place = np.full(DIM, -1)
+    place[known] = np.arange(len(known))
+    seen = place[x.col] >= 0
+    row, col, value = x.row[seen], place[x.col[seen]], (factor[x.col] * x.value)[seen]
+    w, bias = np.zeros(len(known)), 0.0
+    m, v = np.zeros(len(known) + 1), np.zeros(len(known) + 1)
     weight = np.where(y > 0, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
     for t in range(1, steps + 1):
-        r = weight * (sigmoid(x.dot(w * factor) + bias) - y)
-        g = np.append(x.back(r) * factor + l2 * w, r.sum())
+        r = weight * (sigmoid(np.bincount(row, w[col] * value, x.n) + bias) - y)
+        g = np.append(np.bincount(col, r[row] * value, len(known)) + l2 * w, r.sum())
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         step = rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-6)
         w, bias = w - step[:-1], bias - step[-1]
-    size = np.abs(factor[known]).sum()
-    return np.where(known, w, (w[known] @ np.abs(factor[known])) / max(size, 1e-9)) * factor, bias
+    size = np.abs(factor[known])
+    every = np.full(DIM, (w @ size) / max(size.sum(), 1e-9))  # of the others: the mean weight
+    every[known] = w
+    return every * factor, bias
 
 
 def fit_meta(sums: np.ndarray, ridge: float = 1e-2) -> tuple[np.ndarray, float]:
