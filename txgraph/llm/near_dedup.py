@@ -17,12 +17,13 @@ Shape of the job:
    head, by the exact similarity of their texts, and links give components.  This is repeated
    ``STARS`` times with other heads, for members that are not yet in the head's component.
    So a group of thousands of near copies makes one pair a member and round.
-3. Members that are still outside the main component of one of their buckets are compared with all
-   members of the bucket in other components whose signatures agree as those of a
-   similar pair do.  So a link between different texts is found if any band holds both.
+3. Buckets that still hold several components are gathered by centre (the root of a bucket's
+   main component), and members outside the main component are joined with all members by what sets them apart
+   from the centre (``center_join``).  This finds every link that can join two components,
+   and near copies that are just not similar do not meet.
 
 With 24 bands of 4 coordinates a pair of similarity 0.8 shares no band in 3 of a million cases; its
-``K`` coordinates agree too little for a comparison in 3 of 100,000.
+``K`` coordinates agree too little for a comparison with a head in 3 of 100,000.
 
 Defined cases: a text with fewer than five words, but not none, is one shingle; texts without words
 (null and empty ones too) are each alone, unless equal; repeated rows are copies;
@@ -39,6 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txgraph.llm import center_join
 from txgraph.llm.common import components, table
 from txgraph.llm.kernels import mix64, occurrences, shingles, slice_hashes, text_chunks
 from txgraph.session import cut, discard
@@ -162,15 +164,18 @@ def similarity(pairs: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, similarity double")
 
 
+def texts_of(docs: DataFrame, signed: DataFrame, uids: DataFrame) -> DataFrame:
+    """``uid, text`` of the ``uids``; a written table."""
+    who = uids.distinct().join(signed.select("uid", "doc_id", "h"), "uid")
+    return cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+               .withColumn("h", F.xxhash64("text")).alias("d")
+               .join(who.alias("w"), (F.col("d.h") == F.col("w.h")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")))
+               .select("uid", "text").dropDuplicates(["uid"]))
+
+
 def links(docs: DataFrame, signed: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
     """The ``pairs(a, b)`` of uids whose texts have the similarity; a written table."""
-    who = pairs.select(F.col("a").alias("uid")).unionByName(pairs.select(F.col("b").alias("uid"))).distinct() \
-        .join(signed.select("uid", "doc_id", "h"), "uid")
-    text = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-            .withColumn("h", F.xxhash64("text")).alias("d")
-            .join(who.alias("w"), (F.col("d.h") == F.col("w.h")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")))
-            .select("uid", "text").dropDuplicates(["uid"]))
-    text = cut(text)
+    text = texts_of(docs, signed, pairs.select(F.col("a").alias("uid")).unionByName(pairs.select(F.col("b").alias("uid"))))
     with_b = pairs.join(text.select(F.col("uid").alias("b"), F.col("text").alias("text_b")), "b")
     both = with_b.join(text.select(F.col("uid").alias("a"), F.col("text").alias("text_a")), "a")
     out = cut(similarity(both).where(F.col("similarity") >= threshold).select("a", "b"))
@@ -212,14 +217,15 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         comp = cut(components(near))
         discard(m, star)
     m = cut(apart())
-    # the component with the most members of a bucket, and the members outside it
-    main = (m.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main")))
-    out = m.join(main, "key").where("root <> main").select("key", "band", F.col("uid").alias("a"), F.col("root").alias("ra")).join(side("a"), "a")
-    every = m.select("key", F.col("uid").alias("b"), F.col("root").alias("rb")).join(side("b"), "b")
-    first = F.array_position(F.zip_with("ka", "kb", lambda x, y: x == y), True) == F.col("band") + 1  # each pair once
-    rest = cut(out.join(every, (out["key"] == every["key"]) & (F.col("ra") != F.col("rb")) & first & agree)
-               .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    more = links(docs, signed, rest, threshold)
+    # a bucket's centre is the root of the component with the most members; of equal ones the same in all buckets
+    main = (m.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key")
+            .agg(F.max_by("root", F.struct("n", F.xxhash64("root"), "root")).alias("center")))
+    groups = cut(m.join(main, "key").select("center", "uid", "root").distinct())
+    text = texts_of(docs, signed, groups.select("uid").unionByName(groups.select(F.col("center").alias("uid"))))
+    around = center_join.around(groups, text, threshold)
+    rest = center_join.candidates(around, threshold)
+    more = center_join.similar(around, rest, threshold)
+    discard(groups, text, around)
     comp = cut(components(near.unionByName(more)))
     discard(m, sig, pool, rest)
     copy = signed.join(copies, ["copy1", "copy2"]).select("uid", "doc_id", "h", F.col("first.uid").alias("rep"), F.col("first.doc_id").alias("copy_id"))
