@@ -375,6 +375,16 @@ def test_spot_pairs_equal_brute_force(spark):
     s = [plain_spots(t, anchors) for t in texts]
     want = {(a, b) for a in range(60) for b in range(a + 1, 60) if s[a] != s[b] and 5 * len(s[a] & s[b]) >= 4 * len(s[a] | s[b])}
     assert {(p.a, p.b) for p in spotsigs.near_pairs(d, anchors=3).collect()} == want and want
+    # null and equal ids lose no pair
+    ids = [None if k < 20 else 7 for k in range(60)]
+    e = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    key = [frozenset(x) for x in s]
+    least = {}
+    for k, f in enumerate(key):
+        least[f] = min([i for i in (least.get(f), ids[k]) if i is not None], default=None)
+    classes = {frozenset((key[x], key[y])) for x, y in want}
+    asked = collections.Counter(tuple(sorted((least[f] for f in c), key=lambda i: (i is not None, i or 0))) for c in classes)
+    assert collections.Counter((p.a, p.b) for p in spotsigs.near_pairs(e, anchors=3).collect()) == asked
 
 
 # --- 10: decontamination

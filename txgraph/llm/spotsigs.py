@@ -119,11 +119,12 @@ def near_pairs(docs: DataFrame, num: int = 4, den: int = 5, anchors: int = ANCHO
     """Pairs of different fingerprints with a likeness of at least ``num / den``.
 
     ``a, b, likeness``: the smallest ids of the documents with each fingerprint (documents of one
-    fingerprint are one class and not paired).  ``docs`` has ``doc_id`` and ``text``.
+    fingerprint are one class and not paired; null if none has an id, and equal where fingerprints share their
+    smallest id).  Null ids come first.  ``docs`` has ``doc_id`` and ``text``.
     """
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     spots = cut(signatures(d, "text", "spots", common_words(d, anchors)).select("doc_id", F.array_sort("spots").alias("spots"))
-                .groupBy("spots").agg(F.min("doc_id").alias("id")))
+                .groupBy("spots").agg(F.min("doc_id").alias("doc_id")).withColumn("id", F.xxhash64("spots")))
     rarity = setjoin.sketch(spots.select(F.explode("spots").alias("s")).select(F.xxhash64("s").alias("token")))
     sets = spots.withColumn("r", rarity.scalar()).select("id", F.size("spots").alias("n"), setjoin.ordered_tokens(F.col("spots"), F.col("r")).alias("t"))
     size = F.floor(F.log("n") / math.log(den / num)).cast("int")
@@ -133,8 +134,10 @@ def near_pairs(docs: DataFrame, num: int = 4, den: int = 5, anchors: int = ANCHO
                                   & (F.col("x.n") * num <= F.col("y.n") * den) & (F.col("y.n") * num <= F.col("x.n") * den)
                                   & (F.col("x.id") != F.col("y.id")))
              .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct())
-    a, b = (spots.select(F.col("id").alias(c), F.col("spots").alias(f"s{c}")) for c in "ab")
-    return (pairs.join(a, "a").join(b, "b").select("a", "b", pruned_jaccard(F.col("sa"), F.col("sb"), num / den).alias("likeness"))
+    a, b = (spots.select(F.col("id").alias(c), F.struct("doc_id", "id").alias(f"d{c}"), F.col("spots").alias(f"s{c}")) for c in "ab")
+    # a struct is compared field by field, nulls first
+    return (pairs.join(a, "a").join(b, "b").select(F.least("da", "db")["doc_id"].alias("a"), F.greatest("da", "db")["doc_id"].alias("b"),
+                                                   pruned_jaccard(F.col("sa"), F.col("sb"), num / den).alias("likeness"))
             .where(F.col("likeness") * den >= num - 1e-9))
 
 
