@@ -7,106 +7,131 @@ week stops at its first step with sum |x - x_prev| < n * tol.  After
 raises): its last vector is kept with ``converged = false``.
 
 All weeks advance together as one distributed table keyed by (week, node).
-Scaling commutes with a step, so a block of steps runs without norms: each step is one join
-with the salted adjacency (which carries an identity edge per vertex) and one sum per
-node, and every row collects its values of the block.  Norms and L1 changes of all steps
-of the block then come from two per-week sums, and each week stops at its own first
-converged step, so results equal running the weeks one by one, step by step.  A block writes its
-values and one row a week.  The adjacency is pinned anew, in fewer partitions, when the weeks left hold half of its edges.
+Scaling commutes with a step, so a block of steps runs without norms.  The edges (with an identity edge per
+vertex) are pinned by week, each week dealt to a grid of ``side`` x ``side`` cells, by a hash of either end, so that a
+cell has about ``chunk`` edges; ``side`` is 1 for a week with fewer.  A step joins a cell's edges with the values of
+its sources and sums by target where the edges lie, so a step shuffles the accounts and no message of an edge: an account
+goes to the ``side`` cells of its row, and as many partial sums come back.  Every step of a block is written once, as
+rows of fixed width under one folder with the step as partition column, which goes with its block.  Norms and L1
+changes of all of them then come from two per-week sums, and each week stops at its own first converged step, so results
+equal running the weeks one by one, step by step.  Blocks are short while many accounts are left.
+The edges are pinned anew, in fewer partitions, when the weeks left hold half of them.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from txgraph.operators.adjacency import SALT_CHUNK, fan_out, node_salts, salted_adjacency
-from txgraph.operators.edges import W
+from txgraph.operators.edges import W, vertices
 from txgraph.operators.stats import summarize
-from txgraph.session import cut, discard, pin, static_plans
+from txgraph.session import checkpoint_dir, cut, discard, pin, static_plans
 
 MAX_ITER = 1000   # fixed value of the reference call
 TOL = 1e-6        # fixed value: default tolerance of the reference library
-BLOCK = 20        # tunable: steps between two looks at convergence
+BLOCK = 16        # tunable: most steps between two looks at convergence
+LEAST_BLOCK = 6   # tunable: steps a block has however many accounts are left
+BLOCK_ROWS = 8_000_000  # tunable: rows that the steps of a block write
+CELL = 1 << 20    # tunable: edges of a week that are summed in one task
 EDGES_PER_PARTITION = 100_000  # tunable: the working set shrinks as weeks converge, and its partitions with it
 
 
-def _step(cur: DataFrame, adj: DataFrame) -> DataFrame:
-    """One unnormalised step u' = (I + A^T) u; ``h`` collects a node's values."""
-    own = F.col("frm") == F.col("to")
-    return (fan_out(cur).withColumnRenamed("node", "frm")
-            .join(adj, [W, "frm", "salt"])
+def _place(node: str, side: str = "side") -> Column:
+    return F.pmod(F.xxhash64(node, F.lit(3)), F.col(side)).cast("int")
+
+
+def _step(cur: DataFrame, adj: DataFrame, parts: int, split: bool) -> DataFrame:
+    """One unnormalised step u' = (I + A^T) u, with the value before it; ``split``: weeks lie in cells."""
+    state, key = cur.select(W, F.col("node").alias("frm"), "side", "u"), [W, "frm"]
+    if split:
+        key = [W, "row", "col", "frm"]
+        state = state.withColumn("row", _place("frm")).withColumn("col", F.explode(F.sequence(F.lit(0), F.col("side") - 1)))
+    return (adj.hint("merge").join(state.repartition(parts, *key[:-1]), key)
             .groupBy(W, F.col("to").alias("node"))
-            .agg(F.sum("u").alias("u"), F.max("to_ns").alias("ns"), F.max(F.when(own, F.col("h"))).alias("h"))
-            .select(W, "node", "ns", "u", F.concat("h", F.array("u")).alias("h")))
+            .agg(F.max("side").alias("side"), F.max(F.when(F.col("frm") == F.col("to"), F.col("u"))).alias("prev"), F.sum("u").alias("u")))
 
 
-def _judge(block: DataFrame, steps: int, weeks: DataFrame, tol: float) -> DataFrame:
-    """``(time_week, norms, stop)``: the norm of each step, and the first converged step (NULL: none)."""
-    at = lambda j: F.col("h")[j]
-    norms = block.groupBy(W).agg(F.array(*[F.sqrt(F.sum(at(j) * at(j))) for j in range(steps + 1)]).alias("norms"))
-    x = lambda j: at(j) / F.col("norms")[j]
-    change = (block.join(norms, W).groupBy(W)
-              .agg(F.array(*[F.sum(F.abs(x(j) - x(j - 1))) for j in range(1, steps + 1)]).alias("l1")))
-    stop = F.array_min(F.filter(F.transform("l1", lambda v, j: F.when(v < F.col("n") * tol, j + 1)), lambda j: j.isNotNull()))
-    return norms.join(change, W).join(weeks, W).select(W, "norms", stop.alias("stop"))
+def _judge(values: DataFrame, steps: int, weeks: DataFrame, tol: float) -> DataFrame:
+    """``(time_week, j, norm, converged)``: the first converged step of each week, else the last of the block, and its norm."""
+    norms = cut(values.groupBy(W, "j").agg(F.sqrt(F.sum(F.col("u") * F.col("u"))).alias("norm")))
+    # the vector that the block began with is taken as it is
+    before = norms.select(W, (F.col("j") + 1).alias("j"), F.col("norm").alias("norm_before"))
+    change = (values.join(norms.join(before, [W, "j"], "left"), [W, "j"])
+              .groupBy(W, "j", "norm")
+              .agg(F.sum(F.abs(F.col("u") / F.col("norm") - F.col("prev") / F.coalesce("norm_before", F.lit(1.0)))).alias("l1")))
+    ends = F.col("l1") < F.col("n") * tol
+    first = F.min_by(F.struct("j", "norm", ends.alias("converged")), F.when(ends, F.col("j")).otherwise(F.lit(2 * steps) - F.col("j")))
+    judged = cut(change.join(weeks, W).groupBy(W).agg(first.alias("x")).select(W, "x.*"))
+    discard(norms)
+    return judged
 
 
 def eigenvector_iterate(e: DataFrame, max_iter: int = MAX_ITER, tol: float = TOL,
-                        block: int = BLOCK, chunk: int = SALT_CHUNK) -> tuple[DataFrame, DataFrame]:
+                        block: int = BLOCK, chunk: int = CELL) -> tuple[DataFrame, DataFrame]:
     """Return ``(nodes(time_week, node, eigenvector_centrality, converged), weeks(time_week, iterations, converged))``."""
-    e = cut(e.select(W, "src", "dst"))
-    ns, mx = node_salts(e, loops=True, chunk=chunk, identity=True)
-    ns = cut(ns)
+    e = e if hasattr(e, "_cut_path") else cut(e.select(W, "src", "dst"))
     spark = e.sparkSession
-    every = cut(salted_adjacency(e, ns, mx, loops=True, identity=True))
-    sizes = cut(every.groupBy(W).agg(F.count(F.lit(1)).alias("m")))
-    weeks = cut(ns.groupBy(W).agg(F.count(F.lit(1)).alias("n")))
-    edges = sizes.agg(F.sum("m")).first()[0] or 0
+    nodes = cut(vertices(e))
+    # one row a week: vertices, edges with the identity, cells in a row of the grid
+    n, m = (t.groupBy(W).agg(F.count(F.lit(1)).alias(c)) for t, c in ((nodes, "n"), (e, "m")))
+    weeks = cut(n.join(m, W).select(W, "n", (F.col("m") + F.col("n")).alias("m"))
+                .withColumn("side", F.ceil(F.sqrt(F.col("m") / F.lit(chunk))).cast("int")))
+    every = e.select(W, F.col("src").alias("frm"), F.col("dst").alias("to")).unionByName(
+        nodes.select(W, F.col("node").alias("frm"), F.col("node").alias("to")))
     most = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = lambda m: max(1, min(most, -(-m // EDGES_PER_PARTITION)))
-    adj = pin(every, W, "frm", "salt", partitions=parts(edges))
-    state = ns.join(weeks, W).select(W, "node", "ns", (1.0 / F.col("n")).alias("u"))
-    finished, done, written = [], 0, None
+
+    def sizes(left: DataFrame) -> Row:
+        return left.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in "mn"], F.coalesce(F.max("side"), F.lit(1)).alias("side")).first()
+
+    def pinned(left: DataFrame, size: Row) -> tuple[DataFrame, int, bool]:
+        """The edges of the weeks ``left``, in how many partitions, and whether any week is split into cells."""
+        parts, split = max(1, min(most, -(-size["m"] // EDGES_PER_PARTITION))), size["side"] > 1
+        cells = [W, "row", "col"] if split else [W]
+        a = every.join(left.select(W, "side"), W)
+        a = a.select(W, _place("frm").alias("row"), _place("to").alias("col"), "frm", "to") if split else a.drop("side")
+        return pin(a, *cells, partitions=parts, order=(*cells, "frm")), parts, split
+
+    size = held = sizes(weeks)
+    adj, parts, split = pinned(weeks, size)
+    state = nodes.join(weeks, W).select(W, "node", "side", (1.0 / F.col("n")).alias("u"))
+    finished, done = [], 0
     while True:
-        steps = min(block, max_iter - done)
-        cur = state.select(W, "node", "ns", "u", F.array("u").alias("h"))
-        for _ in range(steps):
-            cur = _step(cur, adj)
-        with static_plans(spark, parts(edges)):
-            values = cut(cur.select(W, "node", "ns", "h"))
-        done += steps
-        # one row a week
-        judged = cut(_judge(values, steps, weeks, tol).select(
-            W, "norms", F.coalesce("stop", F.lit(steps)).alias("last"), F.col("stop").isNotNull().alias("converged")))
-        if written is not None:
-            discard(*written)
-        ended = F.col("converged") | F.lit(done >= max_iter)
+        steps = min(block, max_iter - done, max(LEAST_BLOCK, BLOCK_ROWS // max(size["n"], 1)))
+        folder = f"{checkpoint_dir(spark).rstrip('/')}/cut-steps-{uuid.uuid4().hex}"
+        cur = state
+        with static_plans(spark, parts):
+            for j in range(1, steps + 1):
+                nxt = _step(cur, adj, parts, split)
+                nxt.write.parquet(f"{folder}/j={j}")
+                cur = spark.read.schema(nxt.schema).parquet(f"{folder}/j={j}")
+        values = spark.read.schema(f"{W} string, node long, side int, prev double, u double, j int").parquet(folder)
+        values._cut_path = folder
+        judged = _judge(values, steps, weeks, tol)
+        ended = F.col("converged") | F.lit(done + steps >= max_iter)
         cnt = judged.agg(F.count_if(ended).alias("ended"), F.count_if(~ended).alias("active")).first()
-        res = values.join(judged, W).select(
-            W, "node", "ns", (F.get("h", "last") / F.get("norms", "last")).alias("x"),
-            (F.lit(done - steps) + F.col("last")).alias("it"), "converged")
-        written = None
-        if cnt["ended"]:
-            finished.append(res.where(ended).select(W, "node", "x", "it", "converged"))
+        res = values.join(judged, [W, "j"]).select(
+            W, "node", "side", (F.col("u") / F.col("norm")).alias("x"), (F.lit(done) + F.col("j")).alias("it"), "converged")
+        if cnt["ended"] or not cnt["active"]:  # no edges at all: an empty table
+            finished.append(cut(res.where(ended).select(W, "node", "x", "it", "converged")))
             if len(finished) >= 32:  # keep the final union (and the driver's plan) small
-                finished = [cut(reduce(DataFrame.unionByName, finished))]
-        else:
-            written = (values, judged)  # only the next block reads them
+                many, finished = finished, [cut(reduce(DataFrame.unionByName, finished))]
+                discard(*many)
         if not cnt["active"]:
             break
-        state = res.where(~ended).select(W, "node", "ns", F.col("x").alias("u"))
+        before, state = state, cut(res.where(~ended).select(W, "node", "side", F.col("x").alias("u")))
+        discard(before, values)
+        done += steps
         if cnt["ended"]:
-            active = state.select(W).distinct()
-            left = sizes.join(active, W, "left_semi").agg(F.sum("m")).first()[0]
-            if 2 * left <= edges:  # the converged weeks' edges go
+            left = weeks.join(judged.where(~ended).select(W), W, "left_semi")
+            size = sizes(left)
+            if 2 * size["m"] <= held["m"]:  # the converged weeks' edges go
                 adj.unpersist()
-                edges, adj = left, pin(every.join(active, W, "left_semi"), W, "frm", "salt", partitions=parts(left))
+                held, (adj, parts, split) = size, pinned(left, size)
     adj.unpersist()  # the results read cut tables only
-    if not finished:  # no edges at all
-        finished = [res.select(W, "node", "x", "it", "converged")]
+    discard(state, values)
     out = reduce(DataFrame.unionByName, finished)
     nodes = out.select(W, "node", F.col("x").alias("eigenvector_centrality"), "converged")
     per_week = out.groupBy(W).agg(F.max("it").cast("bigint").alias("iterations"),
