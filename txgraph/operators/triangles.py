@@ -41,8 +41,13 @@ def pair_degrees(p: DataFrame) -> DataFrame:
 
 def triangles(e: DataFrame, chunk: int = HUB_CHUNK) -> DataFrame:
     """``(time_week, a, b, c, w)``: each triangle once, w = s_ab * s_bc * s_ac."""
-    p = weighted_pairs(e)
-    k = pair_degrees(p).select(W, "node", "k")
+    p = cut(weighted_pairs(e))
+    return _closed(p, cut(pair_degrees(p)), chunk)
+
+
+def _closed(p: DataFrame, degrees: DataFrame, chunk: int = HUB_CHUNK) -> DataFrame:
+    """``triangles`` of the written tables of ``weighted_pairs`` and ``pair_degrees``."""
+    k = degrees.select(W, "node", "k")
     # orient every pair from the lower to the higher (k, id) endpoint
     pk = attach(attach(p, k.withColumnsRenamed({"node": "u", "k": "ku"}), "u", chunk, count="ku"),
                 k.withColumnsRenamed({"node": "v", "k": "kv"}), "v", chunk, count="kv")
@@ -53,7 +58,9 @@ def triangles(e: DataFrame, chunk: int = HUB_CHUNK) -> DataFrame:
                   F.when(lo_first, F.col("kv")).otherwise(F.col("ku")).alias("kb"),
                   "s")
     o = cut(o)  # three join inputs read it
-    o1 = o.select(W, "a", "b", "kb", F.col("s").alias("s_ab"))
+    # b is the first end of the closing pair too: pairs to an account without any go before the wedges are made
+    first = o.select(W, F.col("a").alias("b")).distinct()
+    o1 = o.select(W, "a", "b", "kb", F.col("s").alias("s_ab")).join(first, [W, "b"], "left_semi")
     o2 = o.select(W, "a", F.col("b").alias("c"), F.col("kb").alias("kc"), F.col("s").alias("s_ac"))
     wedges = (o1.join(o2, [W, "a"])
               .where((F.col("kb") < F.col("kc")) | ((F.col("kb") == F.col("kc")) & (F.col("b") < F.col("c")))))
@@ -62,8 +69,7 @@ def triangles(e: DataFrame, chunk: int = HUB_CHUNK) -> DataFrame:
             .select(W, "a", "b", "c", (F.col("s_ab") * F.col("s_bc") * F.col("s_ac")).alias("w")))
 
 
-def _corner_sums(e: DataFrame) -> DataFrame:
-    t = triangles(e)
+def _corner_sums(t: DataFrame) -> DataFrame:
     corners = t.select(W, F.explode(F.array("a", "b", "c")).alias("node"), "w")
     return corners.groupBy(W, "node").agg(
         F.sum(2 * F.col("w")).alias("t_dir"), F.count(F.lit(1)).alias("t_und"))
@@ -72,9 +78,9 @@ def _corner_sums(e: DataFrame) -> DataFrame:
 def clustering(e: DataFrame) -> DataFrame:
     """``(time_week, node, clustering_directed, clustering_undirected)`` for every vertex."""
     e = e if hasattr(e, "_cut_path") else cut(e)
-    p = weighted_pairs(e)
-    pd_ = pair_degrees(p)
-    t = _corner_sums(e)
+    p = cut(weighted_pairs(e))
+    pd_ = cut(pair_degrees(p))
+    t = _corner_sums(_closed(p, pd_))
     v = vertices(e)
     j = v.join(pd_, [W, "node"], "left").join(t, [W, "node"], "left")
     den_dir = 2 * (F.col("d") * (F.col("d") - 1) - 2 * F.col("recip"))
