@@ -107,7 +107,7 @@ def eigenvector_iterate(e: DataFrame, max_iter: int = MAX_ITER, tol: float = TOL
                 nxt = _step(cur, adj, parts, split)
                 nxt.write.parquet(f"{folder}/j={j}")
                 cur = spark.read.schema(nxt.schema).parquet(f"{folder}/j={j}")
-        values = spark.read.schema(f"{W} string, node long, side int, prev double, u double, j int").parquet(folder)
+        values = spark.read.schema(f"{', '.join(f'{c} {t}' for c, t in nxt.dtypes)}, j int").parquet(folder)
         values._cut_path = folder
         judged = _judge(values, steps, weeks, tol)
         ended = F.col("converged") | F.lit(done + steps >= max_iter)
