@@ -18,7 +18,7 @@ Only the prototypes, one vector for each ``lang`` value, are collected.  More th
 Defined cases: a null text or one without letters is ``und`` with score 0; without any
 training text everything is ``und``; equal cosines go to the first language by name;
 a null id is on the training side; null ``lang`` rows are not learned from; an empty
-table gives no rows; other columns are kept by ``filter_language`` and ignored by ``predict``.
+table gives no rows; other columns are kept by ``filter_language``, which holds no rows out, and ignored by ``predict``.
 """
 
 from __future__ import annotations
@@ -185,15 +185,20 @@ def predict(docs: DataFrame, held_out: Column | None = None) -> DataFrame:
 
 
 def filter_language(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
-    """The rows of ``docs`` whose text has a language with at least ``min_score``; all columns stay."""
-    names, protos = prototypes(docs.where(~held_out_rule()).select("text", "lang"))
+    """The rows of ``docs`` whose text has a language with at least ``min_score``; all columns stay.
+
+    All labelled rows are learned from, as nothing is measured here, and a null ``lang`` becomes the language found.
+    """
+    names, protos = prototypes(docs.select("text", "lang"))
     shared = docs.sparkSession.sparkContext.broadcast((names, protos))
-    at = docs.columns.index("text")
+    at, label = docs.columns.index("text"), docs.columns.index("lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, protos = shared.value
         for b in batches:
             best, cosine = classify(b.column(at), names, protos)
+            found = pa.array(names, b.column(label).type).take(pa.array(best, mask=best < 0))
+            b = b.set_column(label, b.schema.field(label), pc.coalesce(b.column(label), found))
             yield b.filter(pc.and_(pa.array(best >= 0), pa.array(cosine >= min_score)))
 
     return docs.mapInArrow(run, docs.schema)
